@@ -48,6 +48,19 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return top1_per_key(df, keys, order)
 
 
+def first_by(value: Column | str, order: Sequence[Column]) -> Column:
+    """Aggregate: ``value`` of the row that sorts first under ``order``.
+
+    ``order`` is a list of ascending-comparable columns (negate a count for
+    "largest first"; put ``isNull()`` before a nullable column for "NULLs
+    last").  The top-1 is then one more aggregate in the same ``groupBy``
+    (one shuffle, partial on the map side) instead of a separate window
+    over a second copy of the rows.  The order must be total within a
+    group (end it with a grouping-unique column)."""
+    value = F.col(value) if isinstance(value, str) else value
+    return F.min_by(value, F.struct(*_cols(order)))
+
+
 def count_where(pred: Column) -> Column:
     """Number of rows where ``pred`` is true (NULL counts as false)."""
     return F.count_if(pred)

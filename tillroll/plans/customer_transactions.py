@@ -8,8 +8,8 @@ Plan shape.  Transactions and orders are both partitioned on ``order_id``
 by their cleaners, so their join is co-partitioned.  One aggregate at
 (customer_id, payment_method) grain — partial on the map side, so a hot
 customer or the NULL customer is absorbed — feeds *both* the customer
-metrics (a second, small roll-up) and the preferred payment method (a
-top-1 over the same rows).  Customer attributes are attached to the
+metrics and the preferred payment method: both come out of the second,
+small roll-up per customer (the top-1 is one more aggregate of it).  Customer attributes are attached to the
 one-row-per-customer result, not to every transaction; the reference's
 group-by on the five attributes is equivalent because they depend on
 customer_id alone.
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import money_avg, money_sum, pct, round2, run_date_lit
-from tillroll.operators import count_where, top1_per_key
+from tillroll.operators import count_where, first_by
 
 ATTRS = ["customer_name", "email", "region", "customer_segment"]
 
@@ -47,6 +47,7 @@ def customer_payment_stats(orders: DataFrame, transactions: DataFrame) -> DataFr
 
 
 def _txn_metrics(stats: DataFrame, customers: DataFrame) -> DataFrame:
+    pm, cid = F.col("payment_method"), F.col("customer_id")
     per_customer = stats.groupBy("customer_id").agg(
         F.sum("n_txn").alias("total_transactions"),
         F.sum("n_success").alias("successful_transactions"),
@@ -57,6 +58,9 @@ def _txn_metrics(stats: DataFrame, customers: DataFrame) -> DataFrame:
         F.min("amount_min").alias("_min"),
         F.min("first_date").alias("first_transaction_date"),
         F.max("last_date").alias("last_transaction_date"),
+        # preferred payment: most transactions, then smallest method, NULL last
+        F.when(cid.isNotNull(), first_by(pm, [-F.col("n_txn"), pm.isNull(), pm]))
+        .alias("preferred_payment_method"),
     )
     return per_customer.join(customers.select("customer_id", *ATTRS), "customer_id", "left").select(
         "customer_id", *ATTRS, "total_transactions", "successful_transactions", "failed_transactions",
@@ -65,38 +69,31 @@ def _txn_metrics(stats: DataFrame, customers: DataFrame) -> DataFrame:
         round2(money_avg("_sum", "_n")).alias("avg_transaction_value"),
         round2("_max").alias("max_transaction_value"),
         round2("_min").alias("min_transaction_value"),
-        "first_transaction_date", "last_transaction_date",
+        "first_transaction_date", "last_transaction_date", "preferred_payment_method",
     )
 
 
-def _preferred(stats: DataFrame) -> DataFrame:
-    return top1_per_key(
-        stats.filter(F.col("customer_id").isNotNull()).select("customer_id", "payment_method", "n_txn"),
-        ["customer_id"],
-        [F.col("n_txn").desc(), F.col("payment_method").asc_nulls_last()],
-    ).select("customer_id", F.col("payment_method").alias("preferred_payment_method"))
-
-
 def customer_txn_metrics(orders, customers, transactions) -> DataFrame:
     """The per-customer transaction metrics (with the NULL customer)."""
-    return _txn_metrics(customer_payment_stats(orders, transactions), customers)
+    return _txn_metrics(customer_payment_stats(orders, transactions), customers).drop("preferred_payment_method")
 
 
 def preferred_payment(orders, transactions) -> DataFrame:
     """The payment method used by most of a customer's transactions;
     ties to the smallest method name, NULL last."""
-    return _preferred(customer_payment_stats(orders, transactions))
+    return (
+        customer_payment_stats(orders, transactions)
+        .filter(F.col("customer_id").isNotNull())
+        .groupBy("customer_id")
+        .agg(first_by("payment_method", [-F.col("n_txn"), F.col("payment_method").isNull(),
+                                          F.col("payment_method")]).alias("preferred_payment_method"))
+    )
 
 
 def transform(orders, customers, transactions, date) -> DataFrame:
-    stats = customer_payment_stats(orders, transactions)
-    return (
-        _txn_metrics(stats, customers)
-        .join(_preferred(stats), "customer_id", "left")
-        .select(
-            "customer_id", *ATTRS, "total_transactions", "successful_transactions", "failed_transactions",
-            "transaction_success_rate_pct", "total_transaction_value", "avg_transaction_value",
-            "max_transaction_value", "min_transaction_value", "first_transaction_date",
-            "last_transaction_date", "preferred_payment_method", run_date_lit(date).alias("ingestion_date"),
-        )
+    return _txn_metrics(customer_payment_stats(orders, transactions), customers).select(
+        "customer_id", *ATTRS, "total_transactions", "successful_transactions", "failed_transactions",
+        "transaction_success_rate_pct", "total_transaction_value", "avg_transaction_value",
+        "max_transaction_value", "min_transaction_value", "first_transaction_date",
+        "last_transaction_date", "preferred_payment_method", run_date_lit(date).alias("ingestion_date"),
     )

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import money_sum, round2, run_date_lit
-from tillroll.operators import top1_per_key
+from tillroll.operators import first_by, top1_per_key
 
 CUSTOMER_ATTRS = ["customer_name", "email", "region", "customer_segment", "signup_date"]
 
@@ -50,14 +50,38 @@ def order_item_totals(order_items: DataFrame) -> DataFrame:
     )
 
 
+def order_item_summary(order_items: DataFrame, products: DataFrame) -> DataFrame:
+    """R1a + R1b in one pass: item lines, units, revenue and top category per
+    order.  Lines are first aggregated per (order, category) — partial on
+    the map side — and then rolled up per order, where the top category is
+    one more aggregate of the same roll-up (most lines, then smallest
+    category, NULL last).  Money is summed exactly, so the two-level sum
+    equals the one-level sum."""
+    cat = F.col("category")
+    per_cat = (
+        order_items.select("order_id", "product_id", "order_item_id", "quantity", "price_per_unit")
+        .join(products.select("product_id", "category"), "product_id", "left")
+        .groupBy("order_id", "category")
+        .agg(
+            F.count("order_item_id").alias("cat_count"),
+            F.sum("quantity").alias("units"),
+            money_sum(F.col("quantity") * F.col("price_per_unit")).alias("revenue"),
+        )
+    )
+    return per_cat.groupBy("order_id").agg(
+        F.sum("cat_count").alias("total_line_items"),
+        F.sum("units").alias("total_quantity"),
+        round2(F.try_sum("revenue")).alias("items_revenue"),
+        first_by(cat, [-F.col("cat_count"), cat.isNull(), cat]).alias("top_category"),
+    )
+
+
 def transform(orders, customers, order_items, products, transactions, date) -> DataFrame:
     txn = transactions.select(
         "order_id", "transaction_id", "transaction_status", "transaction_date", "transaction_amount"
     )
-    per_order = (
-        orders.join(order_item_totals(order_items), "order_id", "left")
-        .join(top_category_per_order(order_items, products), "order_id", "left")
-        .join(txn, "order_id", "left")
+    per_order = orders.join(order_item_summary(order_items, products), "order_id", "left").join(
+        txn, "order_id", "left"
     )
     enriched = per_order.join(customers.select("customer_id", *CUSTOMER_ATTRS), "customer_id", "left")
     total, discount = F.col("total_amount"), F.col("discount_amount")
