@@ -1,0 +1,85 @@
+"""Plan checks: the properties that make the reports scale.
+
+* every top-1 / de-duplication runs as a WindowGroupLimit (map-side partial
+  top-1 before the shuffle);
+* no Python evaluation, no cartesian product or nested-loop join;
+* the only single-partition exchange is R3's growth window, over the
+  already-aggregated months;
+* scans read only the columns the query needs, with filters pushed down;
+* the per-order joins of R1 reuse the cleaners' order_id partitioning.
+"""
+
+import re
+
+import pytest
+
+from conftest import SF_SMALL
+from tillroll.catalog import QUERIES
+from tillroll.session import configure
+
+PLAN_QUERIES = [q for q in QUERIES if q not in ("csv_roundtrip", "sink_partition_overwrite")]
+
+
+def physical(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def plans(spark):
+    configure(spark)
+    spark.catalog.clearCache()  # cached tables from other tests would replace sub-plans
+    # plan as at scale: no automatic broadcast of the (tiny) test tables
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        yield {name: physical(QUERIES[name](spark, SF_SMALL)) for name in PLAN_QUERIES}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", PLAN_QUERIES)
+def test_no_python_no_cartesian(plans, name):
+    plan = plans[name]
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "CartesianProduct",
+                "BroadcastNestedLoopJoin"):
+        assert bad not in plan, (name, bad)
+
+
+@pytest.mark.parametrize("name", PLAN_QUERIES)
+def test_single_partition_only_for_monthly_growth(plans, name):
+    n = plans[name].count("SinglePartition")
+    assert n == (1 if name == "monthly_performance" else 0), name
+
+
+@pytest.mark.parametrize("name", ["clean_customers", "clean_products", "clean_orders", "clean_order_items",
+                                  "clean_transactions", "last_order", "favorite_category"])
+def test_top1_uses_partial_window_group_limit(plans, name):
+    plan = plans[name]
+    assert re.search(r"WindowGroupLimit .*Partial", plan), name
+    assert re.search(r"WindowGroupLimit .*Final", plan), name
+
+
+def test_scan_pruning_and_pushdown(plans):
+    # monthly_performance reads no customer/part columns and only the
+    # lineitem columns the transactions mapping needs, with its filter pushed
+    plan = plans["monthly_performance"]
+    assert "customer.parquet" not in plan and "part.parquet" not in plan
+    li = [ln for ln in plan.splitlines() if "lineitem.parquet" in ln]
+    assert li and all("LessThanOrEqual(l_linenumber,2)" in ln for ln in li)
+    assert all("l_quantity" not in ln and "l_discount" not in ln for ln in li)
+
+
+def test_order_level_joins_reuse_cleaner_partitioning(plans):
+    """orders, the item summary and the kept transaction meet on order_id
+    without re-shuffling the cleaned orders or transactions."""
+    plan = plans["order_summary"]
+    shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    keys = [s.split(",")[0].split("#")[0] for s in shuffles]
+    # orders dedup, transactions dedup, items dedup, item roll-ups (2),
+    # product join (2 sides), customer join (2 sides) + customers dedup
+    assert keys.count("order_id") <= 4, shuffles
+    assert "SortMergeJoin" in plan
+
+
+def test_retention_broadcasts_only_the_bounded_cohort_table(plans):
+    plan = plans["customer_retention"]
+    assert plan.count("BroadcastExchange") == 1
