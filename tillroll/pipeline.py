@@ -22,6 +22,7 @@ import argparse
 import datetime as dt
 import logging
 import sys
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -54,6 +55,8 @@ class JobConfig:
     output_format: str = "parquet"
     materialize: str = "cache"
     infer_schema: bool = False
+    parallelism: int = 1
+
 
     def validate(self) -> JobConfig:
         parse_run_date(self.run_date)
@@ -66,6 +69,8 @@ class JobConfig:
             raise ValueError(f"materialize must be one of {MATERIALIZE}")
         if self.write_mode not in ("overwrite", "append"):
             raise ValueError("write_mode must be overwrite or append")
+        if self.parallelism < 1:
+            raise ValueError("parallelism must be >= 1")
         return self
 
 
@@ -81,11 +86,14 @@ def parse_args(argv: list[str] | None = None) -> JobConfig:
     p.add_argument("--format", default="parquet")
     p.add_argument("--materialize", default="cache", choices=MATERIALIZE)
     p.add_argument("--infer-schema", action="store_true", help="infer CSV column types")
+    p.add_argument("--parallelism", type=int, default=1,
+                   help="reports submitted concurrently (Spark schedules their jobs side by side)")
     a = p.parse_args(argv)
     return JobConfig(
         output_base=a.output_base, input_base=a.input_base, sf_dir=a.sf_dir, run_date=a.date,
         reports=tuple(r for r in a.reports.split(",") if r), write_mode=a.mode,
         output_format=a.format, materialize=a.materialize, infer_schema=a.infer_schema,
+        parallelism=a.parallelism,
     ).validate()
 
 
@@ -106,22 +114,31 @@ def load_clean(spark: SparkSession, cfg: JobConfig, tables) -> dict[str, DataFra
     return clean_all(raw)
 
 
-def share(spark: SparkSession, tables: dict[str, DataFrame], reports, how: str) -> dict[str, DataFrame]:
-    """Materialise the cleaned tables that more than one report reads."""
+def share(spark: SparkSession, tables: dict[str, DataFrame], reports, how: str,
+          parallelism: int = 1) -> dict[str, DataFrame]:
+    """Materialise the cleaned tables that more than one report reads.
+
+    Materialisation is eager (one job per table, submitted concurrently up
+    to ``parallelism``) so that reports running side by side never compute
+    the same cleaned table twice."""
     if how == "none":
         return tables
     uses = {t: sum(t in REPORTS[r].inputs for r in reports) for t in tables}
-    out = dict(tables)
+    shared = [t for t in tables if uses[t] >= 2]
     if how == "checkpoint":
         checkpoint_root(spark)
-    for t, df in tables.items():
-        if uses[t] < 2:
-            continue
-        if how == "cache":
-            out[t] = df.persist(StorageLevel.MEMORY_AND_DISK)
-        else:
-            out[t] = df.checkpoint(eager=True)
-    return out
+
+    def materialise(t: str) -> DataFrame:
+        df = tables[t]
+        if how == "checkpoint":
+            return df.checkpoint(eager=True)
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df.count()
+        return df
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(shared) or 1))) as pool:
+        done = dict(zip(shared, pool.map(materialise, shared)))
+    return {t: done.get(t, df) for t, df in tables.items()}
 
 
 def run_report(name: str, tables: dict[str, DataFrame], cfg: JobConfig, sink=None) -> bool:
@@ -149,9 +166,14 @@ def run(spark: SparkSession, cfg: JobConfig, sink=None) -> dict[str, bool]:
     cfg.validate()
     configure(spark)
     tables = load_clean(spark, cfg, needed_tables(cfg.reports))
-    shared = share(spark, tables, cfg.reports, cfg.materialize)
+    shared = share(spark, tables, cfg.reports, cfg.materialize, cfg.parallelism)
     try:
-        results = {name: run_report(name, shared, cfg, sink) for name in cfg.reports}
+        if cfg.parallelism > 1:
+            with ThreadPoolExecutor(max_workers=cfg.parallelism) as pool:
+                futures = {n: pool.submit(run_report, n, shared, cfg, sink) for n in cfg.reports}
+                results = {n: f.result() for n, f in futures.items()}
+        else:
+            results = {name: run_report(name, shared, cfg, sink) for name in cfg.reports}
     finally:
         for t, df in shared.items():
             if df is not tables[t] and cfg.materialize == "cache":
