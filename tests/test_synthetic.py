@@ -1,0 +1,79 @@
+"""S11 synthetic source: sizes, keys, domains, weights, determinism, and an
+end-to-end run of the batch job on generated CSV."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillroll import pipeline
+from tillroll.plans import REPORTS
+from tillroll.sources import synthetic as syn
+
+SIZES = {"customers": 300, "products": 120, "orders": 3000, "order_items": 4000, "transactions": 3000}
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return {k: v.cache() for k, v in syn.generate(spark, SIZES, seed=3, partitions=4).items()}
+
+
+def test_sizes_columns_and_unique_keys(tables):
+    from tillroll.schemas import RAW_COLUMNS
+
+    for t, df in tables.items():
+        assert df.columns == RAW_COLUMNS[t]
+        assert df.count() == SIZES[t]
+    for t, key in [("customers", "customer_id"), ("products", "product_id"), ("orders", "order_id"),
+                   ("order_items", "order_item_id"), ("transactions", "transaction_id")]:
+        assert tables[t].select(key).distinct().count() == SIZES[t]
+
+
+def test_foreign_keys_resolve(tables):
+    def orphans(child, fk, parent, pk):
+        return tables[child].join(tables[parent].select(F.col(pk).alias(fk)), fk, "left_anti").count()
+
+    assert orphans("orders", "customer_id", "customers", "customer_id") == 0
+    assert orphans("order_items", "order_id", "orders", "order_id") == 0
+    assert orphans("order_items", "product_id", "products", "product_id") == 0
+    assert orphans("transactions", "order_id", "orders", "order_id") == 0
+
+
+def test_domains_and_ranges(tables):
+    c, p, o, i, t = (tables[k] for k in ["customers", "products", "orders", "order_items", "transactions"])
+    assert {r[0] for r in c.select("region").distinct().collect()} <= set(syn.REGIONS)
+    assert {r[0] for r in c.select("customer_segment").distinct().collect()} <= set(syn.SEGMENTS)
+    for cat, sub in p.select("category", "sub_category").distinct().collect():
+        assert sub in syn.CATEGORIES[cat]
+    assert {r[0] for r in o.select("payment_method").distinct().collect()} <= set(syn.PAYMENT_METHODS)
+    q = i.agg(F.min("quantity"), F.max("quantity"), F.min("price_per_unit"), F.max("price_per_unit")).first()
+    assert 1 <= q[0] <= q[1] <= 5 and 1.0 <= q[2] <= q[3] <= 300.0
+    d = o.agg(F.min("order_date"), F.max("order_date")).first()
+    assert syn.ACTIVITY_RANGE[0] <= d[0] <= d[1] <= syn.ACTIVITY_RANGE[1]
+    s = c.agg(F.min("signup_date"), F.max("signup_date")).first()
+    assert syn.SIGNUP_RANGE[0] <= s[0] <= s[1] <= syn.SIGNUP_RANGE[1]
+
+
+def test_weights_are_respected(tables):
+    share = {r[0]: r[1] / SIZES["orders"] for r in tables["orders"].groupBy("order_status").count().collect()}
+    for status, w in zip(syn.ORDER_STATUSES, syn.ORDER_STATUS_WEIGHTS):
+        assert abs(share.get(status, 0.0) - w) < 0.04, (status, share)
+    ok = tables["transactions"].filter(F.col("transaction_status") == "success").count() / SIZES["transactions"]
+    assert abs(ok - 0.95) < 0.03
+
+
+def test_deterministic_and_seeded(spark):
+    a = syn.orders(spark, 50, 10, seed=1).collect()
+    b = syn.orders(spark, 50, 10, seed=1, partitions=3).collect()
+    c = syn.orders(spark, 50, 10, seed=2).collect()
+    assert a == b and a != c
+
+
+def test_batch_job_on_generated_csv(spark, tmp_path):
+    base = str(tmp_path / "raw")
+    syn.write_csv(spark, base, sizes=SIZES, seed=5, partitions=2)
+    out = str(tmp_path / "wh")
+    cfg = pipeline.JobConfig(input_base=base, output_base=out, run_date="20250101", parallelism=3)
+    assert pipeline.run(spark, cfg) == {name: True for name in REPORTS}
+    summary = spark.read.parquet(os.path.join(out, "order_summary"))
+    assert summary.count() == SIZES["orders"]  # generated orders are clean and unique
