@@ -249,3 +249,10 @@ def test_monthly_kpis_unique_customers(spark):
                                     ("O3", "C2", d("2020-01-03"), "shipped", 3.0, 0.0, "x")])
     r = r3.monthly_kpis(orders, make(spark, "transactions", [])).first()
     assert (r.total_orders, r.unique_customers, r.total_revenue, r.successful_transactions) == (3, 2, 6.0, 0)
+
+
+def test_display_order_nulls_first(world):
+    rep = REPORTS["monthly_performance"]
+    rows = rep.ordered(run("monthly_performance", world)).collect()
+    assert [(r.year, r.month) for r in rows] == [(None, None), (2019, 12), (2020, 1), (2020, 3), (2020, 5)]
+    assert REPORTS["order_summary"].ordered(world["orders"]) is world["orders"]

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillroll.plans import (
     customer_profile,
@@ -23,6 +26,15 @@ class Report:
     name: str
     inputs: tuple[str, ...]
     transform: Callable
+    order_by: tuple[str, ...] = ()
+
+    def ordered(self, df: DataFrame) -> DataFrame:
+        """The report's display order (ascending, NULLs first).  A global sort
+        is a range shuffle and is lost by any table write, so it is applied
+        only for display, never on the sink path."""
+        if not self.order_by:
+            return df
+        return df.orderBy(*[F.col(c).asc_nulls_first() for c in self.order_by])
 
 
 REPORTS: dict[str, Report] = {
@@ -31,12 +43,14 @@ REPORTS: dict[str, Report] = {
         Report("order_summary", ("orders", "customers", "order_items", "products", "transactions"),
                order_summary.transform),
         Report("monthly_sales", ("orders", "customers", "order_items", "products", "transactions"),
-               monthly_sales.transform),
-        Report("monthly_performance", ("orders", "transactions"), monthly_performance.transform),
+               monthly_sales.transform, ("year", "month", "region", "category")),
+        Report("monthly_performance", ("orders", "transactions"), monthly_performance.transform,
+               ("year", "month")),
         Report("customer_profile_summary", ("orders", "customers", "order_items", "products"),
                customer_profile.transform),
         Report("customer_transactions", ("orders", "customers", "transactions"),
                customer_transactions.transform),
-        Report("customer_retention", ("orders", "customers"), customer_retention.transform),
+        Report("customer_retention", ("orders", "customers"), customer_retention.transform,
+               ("cohort_year", "cohort_month", "periods_since_cohort")),
     ]
 }

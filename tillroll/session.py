@@ -22,6 +22,10 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Coalesce shuffle partitions to the advisory size rather than keeping
+    # one per core: fewer, fuller tasks (the recommended setting on shared
+    # clusters, where executors are not idle waiting for this job).
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
 }
 
 
