@@ -10,11 +10,12 @@ distinct column), the report aggregates in three levels, each with
 map-side partial aggregation:
 
 1. item lines -> (order_id, category): revenue and units;
-2. joined with the qualifying orders -> (year, month, region, category,
-   customer_id): number of orders (each (order, category) pair is unique
-   after level 1, so a plain count is the distinct order count);
+2. joined with the qualifying orders (co-partitioned on order_id) ->
+   (year, month, category, customer_id): number of orders (each
+   (order, category) pair is unique after level 1, so a plain count is the
+   distinct order count); the customer's region is attached to these rows;
 3. -> (year, month, region, category): sums, and a plain count of
-   customers (unique after level 2).
+   customers (unique after level 2, each with one region).
 
 A hot order, customer or group is absorbed by the partial aggregates.
 """
@@ -70,11 +71,19 @@ def transform(orders, customers, order_items, products, transactions, date) -> D
             F.sum("quantity").alias("units"),
         )
     )
-    q = qualifying_orders(orders, customers, transactions).drop("order_date")
+    ok_txn = transactions.filter(F.col("transaction_status") == "success").select("order_id")
+    qualifying = (
+        orders.filter(F.col("order_status") == "completed")
+        .join(ok_txn, "order_id", "left_semi")  # both sides partitioned on order_id by their cleaners
+        .select("order_id", "customer_id", F.year("order_date").alias("year"), F.month("order_date").alias("month"))
+    )
+    # region depends on the customer only: attach it after reducing to one row
+    # per (month, category, customer) instead of shuffling every order to it
     per_customer = (
-        per_order_cat.join(q, "order_id", "inner")
-        .groupBy(*GROUP, "customer_id")
+        per_order_cat.join(qualifying, "order_id", "inner")
+        .groupBy("year", "month", "category", "customer_id")
         .agg(F.count(F.lit(1)).alias("orders"), F.try_sum("revenue").alias("revenue"), F.sum("units").alias("units"))
+        .join(customers.select("customer_id", "region"), "customer_id", "left")
     )
     out = per_customer.groupBy(*GROUP).agg(
         F.sum("orders").alias("total_orders"),
