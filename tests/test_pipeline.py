@@ -90,7 +90,7 @@ def test_sink_rejects_bad_input(spark, tmp_path):
                            mode="merge")
 
 
-@pytest.mark.parametrize("how", ["cache", "checkpoint", "none"])
+@pytest.mark.parametrize("how", ["cache", "checkpoint", "table", "none"])
 def test_run_all_writes_every_report(spark, tmp_path, how):
     out = str(tmp_path / "wh")
     cfg = pipeline.JobConfig(sf_dir=SF_SMALL, output_base=out, run_date=RUN_DATE, materialize=how)
@@ -128,3 +128,30 @@ def test_cli_exit_code_and_arguments(spark, tmp_path, monkeypatch, csv_base):
     rc = pipeline.main(["--input-base", csv_base, "--output-base", str(tmp_path / "wh2"), "--date", RUN_DATE,
                         "--reports", "customer_retention"])
     assert rc == 0
+
+
+def test_table_materialisation_keeps_order_id_co_partitioning(spark):
+    import re
+
+    tables = cleaned(spark, SF_SMALL, "orders", "transactions", "customers")
+    shared, release = pipeline.share(spark, tables, ["monthly_performance", "customer_transactions"], "table")
+    try:
+        assert all(shared[t] is not tables[t] for t in ("orders", "transactions"))
+        assert shared["customers"] is tables["customers"]  # read by one report only: not materialised
+        out = REPORTS["monthly_performance"].transform(shared["orders"], shared["transactions"], RUN_DATE)
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"Exchange hashpartitioning\(order_id", plan)
+    finally:
+        release()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tillroll_")]
+
+
+def test_save_as_table_sink(spark, tmp_path):
+    clean = cleaned(spark, SF_SMALL, "orders", "customers")
+    df = REPORTS["customer_retention"].transform(**clean, date=RUN_DATE)
+    sinks.write_report(df, str(tmp_path / "wh"), "customer_retention", save_as_table="retention_sink_test")
+    try:
+        assert spark.table("retention_sink_test").count() == df.count()
+    finally:
+        spark.sql("DROP TABLE IF EXISTS retention_sink_test")
