@@ -16,10 +16,11 @@ RUN_DATE = "20011231"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     from pyspark.sql import SparkSession
 
-    ckpt = str(tmp_path_factory.mktemp("ckpt"))
+    # spark.checkpoint.dir is taken from the installation's defaults when set;
+    # tillroll.session.checkpoint_root creates a private one only when unset.
     s = (
         SparkSession.builder.master("local[*]")
         .appName("tillroll-tests")
@@ -27,7 +28,6 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.checkpoint.dir", ckpt)
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )

@@ -155,3 +155,12 @@ def test_save_as_table_sink(spark, tmp_path):
         assert spark.table("retention_sink_test").count() == df.count()
     finally:
         spark.sql("DROP TABLE IF EXISTS retention_sink_test")
+
+
+def test_checkpoint_root_is_read_from_the_session(spark):
+    from tillroll.session import checkpoint_root, scratch_path
+
+    root = checkpoint_root(spark)
+    assert root == spark.conf.get("spark.checkpoint.dir")
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(root.rstrip("/") + "/x-")
