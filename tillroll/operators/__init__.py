@@ -67,5 +67,16 @@ def count_where(pred: Column) -> Column:
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Drop rows with a NULL (or, for floating columns, NaN) in any key."""
-    return df.na.drop(how="any", subset=list(keys))
+    """Drop rows with a NULL (or, for floating columns, NaN) in any key —
+    ``na.drop(how="any", subset=keys)``, written as plain predicates so that
+    Catalyst records the keys as non-NULL: joins then infer no extra
+    ``isnotnull`` filters, and the plans of two uses of one cleaned table
+    stay identical (their shuffles are reused)."""
+    types = dict(df.dtypes)
+    cond = None
+    for k in keys:
+        c = F.col(k).isNotNull()
+        if types[k] in ("float", "double"):
+            c = c & ~F.isnan(F.col(k))
+        cond = c if cond is None else cond & c
+    return df.filter(cond) if cond is not None else df
