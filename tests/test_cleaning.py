@@ -145,3 +145,35 @@ def test_parsed_types_from_typed_input(spark):
                                "transaction_id string, order_id string, transaction_date timestamp_ntz, "
                                "transaction_amount double, transaction_status string")
     assert clean_transactions(ts).first().transaction_date == d("2020-01-01")
+
+
+def test_fixture_null_paths_at_sf0001(spark):
+    """FIXTURES.md section 4: what the mapping exercises, at sf0.001."""
+    from pyspark.sql import functions as F
+
+    from tillroll.sources import testdata
+
+    raw = testdata.raw_tables(spark, SF_SMALL)
+    c = cleaned(spark, SF_SMALL, "customers", "products", "orders", "order_items", "transactions")
+    o, i, t = c["orders"], c["order_items"], c["transactions"]
+    assert raw["orders"].filter(F.col("total_amount") == 0).count() == 8
+    assert raw["orders"].filter(F.col("order_date").isNull()).count() == 3
+    assert raw["products"].filter(F.col("unit_price") == "n/a").count() == 2
+    assert raw["transactions"].filter(F.col("transaction_date").isNull()).count() == 6
+    dup = lambda df, k: df.groupBy(k).count().filter("count > 1").count()
+    assert dup(raw["customers"].filter(F.col("customer_id").isNotNull()), "customer_id") == 4
+    assert dup(raw["products"].filter(F.col("product_id").isNotNull()), "product_id") == 4
+    assert dup(raw["transactions"].filter(F.col("transaction_id").isNotNull()), "order_id") == 469
+    assert o.join(c["customers"], "customer_id", "left_anti").count() == 67
+    assert o.join(i, "order_id", "left_anti").count() == 34
+    assert o.join(t, "order_id", "left_anti").count() == 458
+    assert t.join(o, "order_id", "left_anti").count() == 12
+    assert i.join(c["products"], "product_id", "left_anti").count() == 51
+
+
+def test_transaction_tie_in_both_input_orders(spark):
+    a = ("T2", "O1", "2020-01-01 10:00:00", "1.0", "success")
+    b = ("T1", "O1", "2020-01-01 09:00:00", "2.0", "failed")
+    for rows in ([a, b], [b, a]):
+        out = clean_transactions(raw(spark, "transactions", rows).repartition(2)).collect()
+        assert [r.transaction_id for r in out] == ["T1"]

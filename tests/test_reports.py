@@ -256,3 +256,13 @@ def test_display_order_nulls_first(world):
     rows = rep.ordered(run("monthly_performance", world)).collect()
     assert [(r.year, r.month) for r in rows] == [(None, None), (2019, 12), (2020, 1), (2020, 3), (2020, 5)]
     assert REPORTS["order_summary"].ordered(world["orders"]) is world["orders"]
+
+
+def test_favorite_category_tie_breaks(spark):
+    prods = make(spark, "products", [("P1", "x", "B", "s", "b", 1.0), ("P2", "x", "A", "s", "b", 1.0)])
+    orders = make(spark, "orders", [("O1", "C1", d("2020-01-01"), "completed", 1.0, 0.0, "x"),
+                                    ("O2", "C1", d("2020-01-02"), "completed", 1.0, 0.0, "x")])
+    rows = [("I1", "O1", "P1", 1, 1.0), ("I2", "O2", "P2", 1, 1.0), ("I3", "O2", "PX", 1, 1.0)]
+    for ordered in (rows, rows[::-1]):
+        fav = r4.favorite_category(orders, make(spark, "order_items", ordered), prods).first()
+        assert fav.favorite_category == "A"  # A, B and NULL tie at one line each
