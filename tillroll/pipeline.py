@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll import sinks
 from tillroll.functions import parse_run_date
-from tillroll.plans import REPORTS
+from tillroll.plans import DERIVED, REPORTS
 from tillroll.plans.cleaning import clean_all
 from tillroll.session import checkpoint_root, configure, scratch_path
 from tillroll.sources import csv as csv_source
@@ -53,6 +53,7 @@ BUCKET_KEYS = {
     "orders": "order_id",
     "order_items": "order_id",
     "transactions": "order_id",
+    "order_category_lines": "order_id",
 }
 
 
@@ -73,9 +74,9 @@ class JobConfig:
     parallelism: int = 1
 
 
-    def validate(self) -> JobConfig:
+    def validate(self, require_input: bool = True) -> JobConfig:
         parse_run_date(self.run_date)
-        if (self.input_base is None) == (self.sf_dir is None):
+        if require_input and (self.input_base is None) == (self.sf_dir is None):
             raise ValueError("give exactly one of input_base / sf_dir")
         unknown = [r for r in self.reports if r not in REPORTS]
         if unknown:
@@ -129,24 +130,23 @@ def load_clean(spark: SparkSession, cfg: JobConfig, tables) -> dict[str, DataFra
     return clean_all(raw)
 
 
-def share(spark: SparkSession, tables: dict[str, DataFrame], reports, how: str,
+def share(spark: SparkSession, frames: dict[str, DataFrame], uses: dict[str, int], how: str,
           parallelism: int = 1) -> tuple[dict[str, DataFrame], Callable[[], None]]:
-    """Materialise the cleaned tables that more than one report reads.
+    """Materialise the frames that more than one report reads (``uses``).
 
-    Returns the tables to use and a ``release`` callback that drops what was
+    Returns the frames to use and a ``release`` callback that drops what was
     created (cached blocks, or the catalog entries of written tables — their
     files stay in the shared folder).  Materialisation is eager (one job per
-    table, submitted concurrently up to ``parallelism``) so that reports
-    running side by side never compute the same cleaned table twice."""
-    uses = {t: sum(t in REPORTS[r].inputs for r in reports) for t in tables}
-    shared = [] if how == "none" else [t for t in tables if uses[t] >= 2]
+    frame, submitted concurrently up to ``parallelism``) so that reports
+    running side by side never compute the same frame twice."""
+    shared = [] if how == "none" else [t for t in frames if uses.get(t, 0) >= 2]
     if how in ("checkpoint", "table"):
         checkpoint_root(spark)
     run_id = uuid.uuid4().hex[:12]
     created: list[str] = []
 
     def materialise(t: str) -> DataFrame:
-        df = tables[t]
+        df = frames[t]
         if how == "checkpoint":
             return df.checkpoint(eager=True)
         if how == "table":
@@ -170,7 +170,25 @@ def share(spark: SparkSession, tables: dict[str, DataFrame], reports, how: str,
         for name in created:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
 
-    return {t: done.get(t, df) for t, df in tables.items()}, release
+    return {t: done.get(t, df) for t, df in frames.items()}, release
+
+
+def input_uses(reports) -> dict[str, int]:
+    """How many of ``reports`` read each cleaned table."""
+    uses: dict[str, int] = {}
+    for r in reports:
+        for t in REPORTS[r].inputs:
+            uses[t] = uses.get(t, 0) + 1
+    return uses
+
+
+def derived_uses(reports) -> dict[str, int]:
+    """How many of ``reports`` read each shared intermediate."""
+    uses: dict[str, int] = {}
+    for r in reports:
+        for d in REPORTS[r].derived:
+            uses[d] = uses.get(d, 0) + 1
+    return uses
 
 
 def run_report(name: str, tables: dict[str, DataFrame], cfg: JobConfig, sink=None) -> bool:
@@ -178,7 +196,8 @@ def run_report(name: str, tables: dict[str, DataFrame], cfg: JobConfig, sink=Non
     report = REPORTS[name]
     log.info("starting %s", name)
     try:
-        df = report.transform(**{t: tables[t] for t in report.inputs}, date=cfg.run_date)
+        extra = {d: tables[d] for d in report.derived if d in tables}
+        df = report.transform(**{t: tables[t] for t in report.inputs}, **extra, date=cfg.run_date)
         if sink is not None:
             sink(df, name)
         else:
@@ -190,15 +209,28 @@ def run_report(name: str, tables: dict[str, DataFrame], cfg: JobConfig, sink=Non
         return False
 
 
-def run(spark: SparkSession, cfg: JobConfig, sink=None) -> dict[str, bool]:
+def run(spark: SparkSession, cfg: JobConfig, sink=None, raw: dict[str, DataFrame] | None = None) -> dict[str, bool]:
     """Run the selected reports; return {report: succeeded}.
 
-    Reading/cleaning errors abort the job (nothing could succeed without
-    the inputs); a report error only fails that report."""
-    cfg.validate()
+    ``raw`` supplies already-loaded raw tables instead of the configured
+    input.  Reading/cleaning errors abort the job (nothing could succeed
+    without the inputs); a report error only fails that report."""
+    cfg.validate(require_input=raw is None)
     configure(spark)
-    tables = load_clean(spark, cfg, needed_tables(cfg.reports))
-    shared, release = share(spark, tables, cfg.reports, cfg.materialize, cfg.parallelism)
+    needed = needed_tables(cfg.reports)
+    tables = load_clean(spark, cfg, needed) if raw is None else clean_all({t: raw[t] for t in needed})
+    shared, release_inputs = share(spark, tables, input_uses(cfg.reports), cfg.materialize, cfg.parallelism)
+    # intermediates read by several reports are built once from the shared inputs
+    d_uses = derived_uses(cfg.reports)
+    derived = {d: DERIVED[d].build(*[shared[t] for t in DERIVED[d].inputs])
+               for d, n in d_uses.items() if n >= 2 and cfg.materialize != "none"}
+    derived, release_derived = share(spark, derived, d_uses, cfg.materialize, cfg.parallelism)
+    shared = {**shared, **derived}
+
+    def release() -> None:
+        release_derived()
+        release_inputs()
+
     try:
         if cfg.parallelism > 1:
             with ThreadPoolExecutor(max_workers=cfg.parallelism) as pool:

@@ -14,19 +14,39 @@ from tillroll.plans import (
     customer_transactions,
     monthly_performance,
     monthly_sales,
+    order_lines,
     order_summary,
 )
 
 
+@dataclass(frozen=True)
+class Derived:
+    """An intermediate result several reports read: built once per batch run
+    from cleaned inputs and shared like them."""
+
+    name: str
+    inputs: tuple[str, ...]
+    build: Callable
+
+
+DERIVED: dict[str, Derived] = {
+    "order_category_lines": Derived("order_category_lines", ("order_items", "products"),
+                                    order_lines.order_category_lines),
+}
+
+
 @dataclass(frozen=True)
 class Report:
     """A registered report: its output table name, the cleaned inputs it
-    reads, and ``transform(**inputs, date=...) -> DataFrame``."""
+    reads, ``transform(**inputs, date=...) -> DataFrame``, its display
+    order, and the shared intermediates (``DERIVED``) its transform accepts
+    as keyword arguments instead of building them itself."""
 
     name: str
     inputs: tuple[str, ...]
     transform: Callable
     order_by: tuple[str, ...] = ()
+    derived: tuple[str, ...] = ()
 
     def ordered(self, df: DataFrame) -> DataFrame:
         """The report's display order (ascending, NULLs first).  A global sort
@@ -41,13 +61,14 @@ REPORTS: dict[str, Report] = {
     r.name: r
     for r in [
         Report("order_summary", ("orders", "customers", "order_items", "products", "transactions"),
-               order_summary.transform),
+               order_summary.transform, derived=("order_category_lines",)),
         Report("monthly_sales", ("orders", "customers", "order_items", "products", "transactions"),
-               monthly_sales.transform, ("year", "month", "region", "category")),
+               monthly_sales.transform, ("year", "month", "region", "category"),
+               derived=("order_category_lines",)),
         Report("monthly_performance", ("orders", "transactions"), monthly_performance.transform,
                ("year", "month")),
         Report("customer_profile_summary", ("orders", "customers", "order_items", "products"),
-               customer_profile.transform),
+               customer_profile.transform, derived=("order_category_lines",)),
         Report("customer_transactions", ("orders", "customers", "transactions"),
                customer_transactions.transform),
         Report("customer_retention", ("orders", "customers"), customer_retention.transform,

@@ -71,11 +71,12 @@ def customer_order_metrics(orders: DataFrame, customers: DataFrame, date) -> Dat
     return _metrics(_per_customer(orders, with_last=False), customers, date)
 
 
-def favorite_category(orders: DataFrame, order_items: DataFrame, products: DataFrame) -> DataFrame:
+def favorite_category(orders: DataFrame, order_items: DataFrame, products: DataFrame,
+                      lines: DataFrame | None = None) -> DataFrame:
     """Per customer, the category with the most item lines over all
     their cleaned orders; ties to the smallest category, NULL last."""
     per_customer_cat = (
-        order_category_counts(order_items, products)
+        order_category_counts(order_items, products, lines)
         .join(orders.select("order_id", "customer_id"), "order_id", "inner")
         .groupBy("customer_id", "category")
         .agg(F.sum("cat_count").alias("item_count"))
@@ -99,14 +100,15 @@ def last_order(orders: DataFrame) -> DataFrame:
     )
 
 
-def transform(orders, customers, order_items, products, date, transactions=None) -> DataFrame:
+def transform(orders, customers, order_items, products, date, transactions=None,
+              order_category_lines: DataFrame | None = None) -> DataFrame:
     # ``transactions`` is accepted for interface parity; its status column is
     # never used by this report, so it is not joined.
     # The last order (R4c) is one more aggregate of the per-customer roll-up
     # (one shuffle of the orders by customer, not two).
     return (
         _metrics(_per_customer(orders, with_last=True), customers, date)
-        .join(favorite_category(orders, order_items, products), "customer_id", "left")
+        .join(favorite_category(orders, order_items, products, order_category_lines), "customer_id", "left")
         .select(
             "customer_id", *ATTRS, "total_orders", "completed_orders", "total_spent", "avg_order_value",
             "total_discounts_received", "first_purchase_date", "last_purchase_date",

@@ -9,7 +9,9 @@ item rows (which Spark executes by replicating every row once per
 distinct column), the report aggregates in three levels, each with
 map-side partial aggregation:
 
-1. item lines -> (order_id, category): revenue and units;
+1. item lines -> (order_id, category): revenue of the cent-rounded lines
+   and units (the per-(order, category) lines shared with order_summary and
+   customer_profile_summary, see ``order_lines``);
 2. joined with the qualifying orders (co-partitioned on order_id) ->
    (year, month, category, customer_id): number of orders (each
    (order, category) pair is unique after level 1, so a plain count is the
@@ -25,7 +27,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import money_sum, ratio2, round2, run_date_lit
+from tillroll.functions import ratio2, round2, run_date_lit
+from tillroll.plans.order_lines import lines_or_build
 
 GROUP = ["year", "month", "region", "category"]
 
@@ -61,15 +64,10 @@ def sales_lines(orders, customers, order_items, products, transactions) -> DataF
     )
 
 
-def transform(orders, customers, order_items, products, transactions, date) -> DataFrame:
-    per_order_cat = (
-        order_items.select("order_id", "product_id", "quantity", "price_per_unit")
-        .join(products.select("product_id", "category"), "product_id", "left")
-        .groupBy("order_id", "category")
-        .agg(
-            money_sum(round2(F.col("quantity") * F.col("price_per_unit"))).alias("revenue"),
-            F.sum("quantity").alias("units"),
-        )
+def transform(orders, customers, order_items, products, transactions, date,
+              order_category_lines: DataFrame | None = None) -> DataFrame:
+    per_order_cat = lines_or_build(order_category_lines, order_items, products).select(
+        "order_id", "category", F.col("line_revenue").alias("revenue"), "units"
     )
     ok_txn = transactions.filter(F.col("transaction_status") == "success").select("order_id")
     qualifying = (

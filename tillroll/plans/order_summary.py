@@ -17,19 +17,15 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import money_sum, round2, run_date_lit
 from tillroll.operators import first_by, top1_per_key
+from tillroll.plans.order_lines import lines_or_build
 
 CUSTOMER_ATTRS = ["customer_name", "email", "region", "customer_segment", "signup_date"]
 
 
-def order_category_counts(order_items: DataFrame, products: DataFrame) -> DataFrame:
+def order_category_counts(order_items: DataFrame, products: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """(order_id, category, cat_count): item lines per order and category.
     Unknown products form a NULL category that counts like any other."""
-    return (
-        order_items.select("order_id", "product_id", "order_item_id")
-        .join(products.select("product_id", "category"), "product_id", "left")
-        .groupBy("order_id", "category")
-        .agg(F.count("order_item_id").alias("cat_count"))
-    )
+    return lines_or_build(lines, order_items, products).select("order_id", "category", "cat_count")
 
 
 def top_category_per_order(order_items: DataFrame, products: DataFrame) -> DataFrame:
@@ -50,25 +46,14 @@ def order_item_totals(order_items: DataFrame) -> DataFrame:
     )
 
 
-def order_item_summary(order_items: DataFrame, products: DataFrame) -> DataFrame:
+def order_item_summary(order_items: DataFrame, products: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """R1a + R1b in one pass: item lines, units, revenue and top category per
-    order.  Lines are first aggregated per (order, category) — partial on
-    the map side — and then rolled up per order, where the top category is
-    one more aggregate of the same roll-up (most lines, then smallest
+    order, rolled up from the per-(order, category) lines; the top category
+    is one more aggregate of the same roll-up (most lines, then smallest
     category, NULL last).  Money is summed exactly, so the two-level sum
     equals the one-level sum."""
     cat = F.col("category")
-    per_cat = (
-        order_items.select("order_id", "product_id", "order_item_id", "quantity", "price_per_unit")
-        .join(products.select("product_id", "category"), "product_id", "left")
-        .groupBy("order_id", "category")
-        .agg(
-            F.count("order_item_id").alias("cat_count"),
-            F.sum("quantity").alias("units"),
-            money_sum(F.col("quantity") * F.col("price_per_unit")).alias("revenue"),
-        )
-    )
-    return per_cat.groupBy("order_id").agg(
+    return lines_or_build(lines, order_items, products).groupBy("order_id").agg(
         F.sum("cat_count").alias("total_line_items"),
         F.sum("units").alias("total_quantity"),
         round2(F.try_sum("revenue")).alias("items_revenue"),
@@ -76,11 +61,13 @@ def order_item_summary(order_items: DataFrame, products: DataFrame) -> DataFrame
     )
 
 
-def transform(orders, customers, order_items, products, transactions, date) -> DataFrame:
+def transform(orders, customers, order_items, products, transactions, date,
+              order_category_lines: DataFrame | None = None) -> DataFrame:
     txn = transactions.select(
         "order_id", "transaction_id", "transaction_status", "transaction_date", "transaction_amount"
     )
-    per_order = orders.join(order_item_summary(order_items, products), "order_id", "left").join(
+    items = order_item_summary(order_items, products, order_category_lines)
+    per_order = orders.join(items, "order_id", "left").join(
         txn, "order_id", "left"
     )
     enriched = per_order.join(customers.select("customer_id", *CUSTOMER_ATTRS), "customer_id", "left")
