@@ -54,10 +54,14 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint directory of the cluster.
 
-    Read from the session; only when it is unset (local runs, tests) is a
-    private temporary directory created and registered."""
+    Read from the session.  When it is unset, a local-mode session (tests,
+    a single machine) gets a private temporary directory; a cluster session
+    raises instead of silently using a folder only one machine can see."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder is invisible to other executors
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="tillroll-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
