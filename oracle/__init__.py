@@ -15,19 +15,19 @@ RUN_DATE_SQL = "DATE '2001-12-31'"  # run date 20011231 (FIXTURES.md)
 
 
 def R2(x: str) -> str:
-    """Cents rounding HALF_UP on the double's shortest decimal form (the form
-    Spark's round(double) works on): via VARCHAR, then DECIMAL(38,10)."""
-    return f"CAST(round(TRY_CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,10)), 2) AS DOUBLE)"
+    """Cents rounding HALF_UP on the shortest decimal form of a double (the
+    form Spark's round(double) works on), or on an exact decimal."""
+    return f"CAST(round(TRY_CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE)"
 
 
 def MSUM(x: str) -> str:
-    """Exact money sum: each value as DECIMAL(38,4) from its shortest form."""
-    return f"sum(TRY_CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,4)))"
+    """Exact money sum: each value as DECIMAL(38,18) from its shortest form."""
+    return f"sum(TRY_CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18)))"
 
 
 def MAVG(x: str) -> str:
-    """Mean as the exact sum (as double) over the non-NULL count."""
-    return f"(CAST({MSUM(x)} AS DOUBLE) / count({x}))"
+    """Mean as the exact sum (correctly rounded to double) over the non-NULL count."""
+    return f"(CAST(CAST({MSUM(x)} AS VARCHAR) AS DOUBLE) / count({x}))"
 
 
 # --- raw inputs: FIXTURES.md section 3, unchanged --------------------------------

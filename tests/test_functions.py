@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,11 +24,14 @@ def one(spark, *cols):
     return spark.range(1).select(*cols).first()
 
 
-def test_round2_is_half_up_on_decimal_value(spark):
+def test_round2_is_half_up_on_the_shortest_decimal_form(spark):
     r = one(spark, round2(F.lit(1.005)).alias("a"), round2(F.lit(-1.005)).alias("b"),
-            round2(F.lit(2.675)).alias("c"), round2(F.lit(1119733.7649999998)).alias("d"),
-            round2(F.lit(float("nan"))).alias("e"), round2(F.lit(None).cast("double")).alias("f"))
-    assert (r.a, r.b, r.c, r.d, r.e, r.f) == (1.01, -1.01, 2.68, 1119733.77, None, None)
+            round2(F.lit(2.675)).alias("c"), round2(F.lit(0.125)).alias("d"),
+            round2(F.lit(4478935.06) / 4).alias("e"), round2(F.lit(3) * F.lit(1.005)).alias("f"),
+            round2(F.lit(float("nan"))).alias("g"), round2(F.lit(None).cast("double")).alias("h"))
+    # 4478935.06 / 4 prints as 1119733.765; 3 * 1.005 prints as 3.0149999999999997
+    assert (r.a, r.b, r.c, r.d, r.e, r.f, r.h) == (1.01, -1.01, 2.68, 0.13, 1119733.77, 3.01, None)
+    assert r.g != r.g  # NaN stays NaN, as with round()
 
 
 def test_pct_and_growth(spark):
@@ -62,8 +66,8 @@ def test_money_sum_is_exact_and_order_independent(spark):
     a = df.repartition(7).agg(money_sum("x").alias("s"), F.count("x").alias("n")).first()
     b = df.coalesce(1).agg(money_sum("x").alias("s"), F.count("x").alias("n")).first()
     assert a.s == b.s
-    assert str(a.s) == "1000002.0050"
-    r = spark.createDataFrame([(a.s, a.n)], "s decimal(38,4), n long").select(
+    assert a.s == Decimal("1000002.005")
+    r = spark.createDataFrame([(a.s, a.n)], "s decimal(38,18), n long").select(
         round2(money_avg("s", "n")).alias("avg")).first()
     assert r.avg == round(1000002.005 / 16, 2)
 

@@ -1,0 +1,208 @@
+"""Property tests: random small inputs, Spark against a brute-force Python
+version of the same rule (hypothesis drives the inputs)."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections import defaultdict
+from decimal import ROUND_HALF_UP, Decimal
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from conftest import make
+from tillroll.plans import REPORTS
+from tillroll.plans.cleaning import clean_orders
+from tillroll.schemas import RAW_CSV
+
+SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+
+# --- clean_orders ------------------------------------------------------------
+
+DATES = ["2020-01-05 10:00:00", "2020-01-05", "2021-07-31 23:59:59", "garbage", None]
+STATUSES = [" Completed ", "SHIPPED", "pending", "returned", "cancelled", "Cancelled ", None]
+AMOUNTS = ["1.5", "abc", "0", "-2", None, "10"]
+raw_order = st.tuples(
+    st.sampled_from(["O1", "O2", "O3", None]), st.sampled_from(["C1", "C2", None]), st.sampled_from(DATES),
+    st.sampled_from(STATUSES), st.sampled_from(AMOUNTS), st.sampled_from(AMOUNTS),
+    st.sampled_from(["cash", "card", None]),
+)
+
+
+def _num(x):
+    try:
+        return float(x)
+    except (TypeError, ValueError):
+        return None
+
+
+def _day(x):
+    if x is None or x == "garbage":
+        return None
+    return dt.date.fromisoformat(x[:10])
+
+
+def brute_clean_orders(rows):
+    kept = []
+    for oid, cid, date, status, total, disc, pay in rows:
+        if oid is None or cid is None:
+            continue
+        s = status.strip().lower() if status is not None else None
+        if s not in ("completed", "shipped", "returned", "cancelled"):
+            continue
+        kept.append((oid, cid, _day(date), s, _num(total), _num(disc), pay))
+    best = {}
+    for r in kept:
+        key = tuple((v is None, v if v is not None else 0) for v in r[1:])
+        if r[0] not in best or key < best[r[0]][0]:
+            best[r[0]] = (key, r)
+    return sorted((v[1] for v in best.values()), key=repr)
+
+
+@SETTINGS
+@given(st.lists(raw_order, max_size=12))
+def test_clean_orders_matches_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, RAW_CSV["orders"])
+    got = sorted((tuple(r) for r in clean_orders(df).collect()), key=repr)
+    assert got == brute_clean_orders(rows)
+
+
+# --- monthly_sales -----------------------------------------------------------
+
+def r2(x: float | Decimal | None):
+    if x is None:
+        return None
+    return float(Decimal(repr(x) if isinstance(x, float) else x).quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+CUSTOMERS = [("C1", "n", "e", dt.date(2020, 1, 1), "EU", "s"), ("C2", "n", "e", dt.date(2020, 1, 1), "US", "s"),
+             ("C3", "n", "e", dt.date(2020, 1, 1), "EU", "s")]
+PRODUCTS = [("P1", "p", "A", "a", "b", 1.0), ("P2", "p", "B", "b", "b", 1.0)]
+order = st.tuples(st.sampled_from(["C1", "C2", "C3", "C9"]),
+                  st.sampled_from([dt.date(2020, 1, 3), dt.date(2020, 2, 9), None]),
+                  st.sampled_from(["completed", "completed", "shipped"]))
+item = st.tuples(st.integers(0, 5), st.sampled_from(["P1", "P2", "P9"]), st.integers(1, 4),
+                 st.sampled_from([1.005, 2.5, 10.0, 0.335, 7.125]))
+txn = st.sampled_from(["success", "success", "failed", None])
+
+
+def brute_monthly_sales(orders, items, txns):
+    region = {c[0]: c[4] for c in CUSTOMERS}
+    category = {p[0]: p[2] for p in PRODUCTS}
+    groups = defaultdict(lambda: {"orders": set(), "customers": set(), "rev": Decimal(0), "units": 0})
+    for oi, pid, q, price in items:
+        o = orders[oi]
+        if o["status"] != "completed" or txns[oi] != "success":
+            continue
+        d = o["date"]
+        key = (d.year if d else None, d.month if d else None, region.get(o["customer"]), category.get(pid))
+        g = groups[key]
+        g["orders"].add(oi)
+        g["customers"].add(o["customer"])
+        g["rev"] += Decimal(repr(r2(q * price)))
+        g["units"] += q
+    out = []
+    for (y, m, reg, cat), g in groups.items():
+        gross = r2(g["rev"])
+        out.append((y, m, reg, cat, len(g["orders"]), len(g["customers"]), gross, g["units"],
+                    r2(gross / len(g["orders"]))))
+    return sorted(out, key=repr)
+
+
+@SETTINGS
+@given(st.lists(order, min_size=6, max_size=6), st.lists(item, max_size=14), st.lists(txn, min_size=6, max_size=6))
+def test_monthly_sales_matches_brute_force(spark, orders, items, txns):
+    o_rows = [(f"O{i}", c, d, s, 1.0, 0.0, "cash") for i, (c, d, s) in enumerate(orders)]
+    i_rows = [(f"I{n}", f"O{oi}", pid, q, p) for n, (oi, pid, q, p) in enumerate(items)]
+    t_rows = [(f"T{i}", f"O{i}", dt.date(2020, 1, 1), 1.0, s) for i, s in enumerate(txns) if s is not None]
+    tables = dict(customers=make(spark, "customers", CUSTOMERS), products=make(spark, "products", PRODUCTS),
+                  orders=make(spark, "orders", o_rows), order_items=make(spark, "order_items", i_rows),
+                  transactions=make(spark, "transactions", t_rows))
+    got = REPORTS["monthly_sales"].transform(**tables, date="20240101").drop("ingestion_date")
+    got = sorted((tuple(r) for r in got.collect()), key=repr)
+    as_dicts = [{"customer": c, "date": d, "status": s} for c, d, s in orders]
+    assert got == brute_monthly_sales(as_dicts, items, txns)
+
+
+# --- customer_transactions ---------------------------------------------------
+
+t_order = st.tuples(st.sampled_from(["C1", "C2", "C9"]), st.sampled_from(["cash", "card", "gift", None]))
+t_txn = st.tuples(st.integers(0, 6), st.sampled_from(["success", "failed", "refunded"]),
+                  st.sampled_from([1.005, 2.5, 100.0, 0.125]), st.sampled_from([dt.date(2020, 1, 2), None]))
+
+
+def brute_customer_transactions(orders, txns):
+    info = {c[0]: c for c in CUSTOMERS}
+    groups = defaultdict(list)
+    for oi, status, amount, day in txns:
+        cust, pay = orders[oi] if oi < len(orders) else (None, None)
+        groups[cust].append((status, amount, day, pay))
+    out = []
+    for cust, rows in groups.items():
+        c = info.get(cust)
+        n, ok, bad = len(rows), sum(r[0] == "success" for r in rows), sum(r[0] == "failed" for r in rows)
+        total = sum(Decimal(repr(r[1])) for r in rows)
+        days = [r[2] for r in rows if r[2] is not None]
+        pays = defaultdict(int)
+        for r in rows:
+            pays[r[3]] += 1
+        pref = None if cust is None else min(pays, key=lambda p: (-pays[p], p is None, p or ""))
+        out.append((cust, c[1] if c else None, c[2] if c else None, c[4] if c else None, c[5] if c else None,
+                    n, ok, bad, r2(ok / n * 100), r2(total), r2(float(total) / n),
+                    r2(max(r[1] for r in rows)), r2(min(r[1] for r in rows)),
+                    min(days) if days else None, max(days) if days else None, pref))
+    return sorted(out, key=repr)
+
+
+@SETTINGS
+@given(st.lists(t_order, min_size=5, max_size=5), st.lists(t_txn, max_size=12))
+def test_customer_transactions_matches_brute_force(spark, orders, txns):
+    o_rows = [(f"O{i}", c, dt.date(2020, 1, 1), "completed", 1.0, 0.0, p) for i, (c, p) in enumerate(orders)]
+    # one kept transaction per order: keep the first drawn for each order id
+    seen, kept = set(), []
+    for t in txns:
+        if t[0] not in seen:
+            seen.add(t[0])
+            kept.append(t)
+    t_rows = [(f"T{n}", f"O{oi}", day, amount, status) for n, (oi, status, amount, day) in enumerate(kept)]
+    got = REPORTS["customer_transactions"].transform(
+        orders=make(spark, "orders", o_rows), customers=make(spark, "customers", CUSTOMERS),
+        transactions=make(spark, "transactions", t_rows), date="20240101").drop("ingestion_date")
+    got = sorted((tuple(r) for r in got.collect()), key=repr)
+    assert got == brute_customer_transactions(orders, kept)
+
+
+# --- customer_retention ------------------------------------------------------
+
+signup = st.sampled_from([dt.date(2020, 1, 15), dt.date(2020, 3, 1), dt.date(2019, 12, 31), None])
+r_order = st.tuples(st.integers(0, 4), st.sampled_from([dt.date(2020, 1, 20), dt.date(2020, 2, 1),
+                                                        dt.date(2019, 11, 5), dt.date(2020, 4, 30), None]))
+
+
+def brute_retention(signups, orders):
+    cohort = {i: ((s.year, s.month) if s else (None, None)) for i, s in enumerate(signups)}
+    sizes = defaultdict(int)
+    for c in cohort.values():
+        sizes[c] += 1
+    active = defaultdict(set)
+    for ci, d in orders:
+        if ci >= len(signups) or d is None or signups[ci] is None:
+            continue
+        cy, cm = cohort[ci]
+        period = (d.year - cy) * 12 + (d.month - cm)
+        if period >= 0:
+            active[(cy, cm, d.year, d.month, period)].add(ci)
+    return sorted(((*k, sizes[k[:2]], len(v), r2(len(v) / sizes[k[:2]] * 100)) for k, v in active.items()),
+                  key=repr)
+
+
+@SETTINGS
+@given(st.lists(signup, min_size=4, max_size=4), st.lists(r_order, max_size=12))
+def test_customer_retention_matches_brute_force(spark, signups, orders):
+    c_rows = [(f"C{i}", "n", "e", s, "R", "S") for i, s in enumerate(signups)]
+    o_rows = [(f"O{n}", f"C{ci}", d, "shipped", 1.0, 0.0, "cash") for n, (ci, d) in enumerate(orders)]
+    got = REPORTS["customer_retention"].transform(
+        orders=make(spark, "orders", o_rows), customers=make(spark, "customers", c_rows),
+        date="20240101").drop("ingestion_date")
+    got = sorted((tuple(r) for r in got.collect()), key=repr)
+    assert got == brute_retention(signups, orders)

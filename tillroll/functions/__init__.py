@@ -13,27 +13,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, DoubleType, IntegerType
 
-# Money is rounded on its decimal value, not on the binary double: the double
-# is first brought to 10 decimal places (which absorbs summation noise), then
-# rounded HALF_UP to cents.  Using the same two steps in any engine gives the
-# same cents.  38 digits leave room for sums far beyond any realistic revenue.
-_MONEY_WORK_TYPE = DecimalType(38, 10)
-
-# Money is *summed* as decimal: an exact sum does not depend on the order in
-# which partitions and partial aggregates are combined, so a total (and the
-# cent it rounds to) is the same under any partitioning, and a multi-level
-# aggregate equals a single-level one.  Four decimal places keep the running
-# sum in Spark's compact 64-bit decimal form up to 10^14.
-MONEY_SUM_TYPE = DecimalType(38, 4)
+# Money is *summed* as decimal: each double enters as its shortest decimal
+# form (the form Spark's own ``round(double)`` works on) and the sum is exact.
+# An exact sum does not depend on the order in which partitions and partial
+# aggregates are combined, so a total (and the cent it rounds to) is the
+# same under any partitioning, and a multi-level aggregate equals a
+# single-level one.  18 decimal places keep every digit of a shortest form
+# for amounts below 10^20.
+MONEY_SUM_TYPE = DecimalType(38, 18)
 
 
 def round2(c: Column | str) -> Column:
-    """``round(x, 2)`` HALF_UP on the decimal value, returned as double.
+    """``round(x, 2)`` HALF_UP, as double.
 
-    NULL, NaN and out-of-range values give NULL instead of raising (ANSI on).
-    """
+    On a double this is Spark's rounding of the value's shortest decimal
+    form (``3.0149999999999997`` -> 3.01, ``1.005`` -> 1.01; NaN stays NaN);
+    on an exact decimal sum it is plain decimal rounding."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.try_cast(_MONEY_WORK_TYPE), 2).cast(DoubleType())
+    return F.round(c, 2).cast(DoubleType())
 
 
 def money_sum(c: Column | str) -> Column:
