@@ -4,6 +4,7 @@ version of the same rule (hypothesis drives the inputs)."""
 from __future__ import annotations
 
 import datetime as dt
+import os
 from collections import defaultdict
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -15,7 +16,9 @@ from tillroll.plans import REPORTS
 from tillroll.plans.cleaning import clean_orders
 from tillroll.schemas import RAW_CSV
 
-SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+# PROP_EXAMPLES raises the number of random cases for a longer search
+SETTINGS = settings(max_examples=int(os.environ.get("PROP_EXAMPLES", "12")), deadline=None,
+                    suppress_health_check=list(HealthCheck))
 
 # --- clean_orders ------------------------------------------------------------
 
