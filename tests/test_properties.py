@@ -209,3 +209,100 @@ def test_customer_retention_matches_brute_force(spark, signups, orders):
         date="20240101").drop("ingestion_date")
     got = sorted((tuple(r) for r in got.collect()), key=repr)
     assert got == brute_retention(signups, orders)
+
+
+# --- order_summary and customer_profile_summary --------------------------------
+
+p_order = st.tuples(st.sampled_from(["C1", "C2", "C9"]),
+                    st.sampled_from([dt.date(2020, 1, 3), dt.date(2020, 1, 3), dt.date(2020, 2, 9), None]),
+                    st.sampled_from(["completed", "shipped", "cancelled"]),
+                    st.sampled_from([100.0, 0.0, -5.0, None, 33.335]), st.sampled_from([1.005, 0.0, 10.0]),
+                    st.sampled_from(["cash", "card", None]))
+p_item = st.tuples(st.integers(0, 5), st.sampled_from(["P1", "P2", "P9"]), st.integers(1, 3),
+                   st.sampled_from([1.005, 2.5, 0.335]))
+RUN = dt.date(2024, 1, 1)
+
+
+def _top(counts: dict):
+    return min(counts, key=lambda c: (-counts[c], c is None, c or ""))
+
+
+def brute_order_summary(orders, items, txn_orders):
+    info = {c[0]: c for c in CUSTOMERS}
+    category = {p[0]: p[2] for p in PRODUCTS}
+    out = []
+    for i, (cust, day, status, total, disc, pay) in enumerate(orders):
+        lines = [(pid, q, price) for oi, pid, q, price in items if oi == i]
+        c = info.get(cust)
+        if lines:
+            cats = defaultdict(int)
+            for pid, _q, _p in lines:
+                cats[category.get(pid)] += 1
+            n, units = len(lines), sum(q for _pid, q, _p in lines)
+            rev = r2(sum(Decimal(repr(q * p)) for _pid, q, p in lines))
+            top = _top(cats)
+        else:
+            n = units = rev = top = None
+        pct_ = r2(disc / total * 100) if total is not None and total > 0 else 0.0
+        net = r2(total - disc) if total is not None else None
+        t = (f"T{i}", "success", dt.date(2020, 1, 1), 1.0) if i in txn_orders else (None, None, None, None)
+        out.append((f"O{i}", cust, *(c[1:3] if c else (None, None)), *(c[4:6] if c else (None, None)),
+                    c[3] if c else None, day, status, pay, total, disc, pct_, net, n, units, rev, top, *t))
+    return sorted(out, key=repr)
+
+
+def brute_profile(orders, items):
+    info = {c[0]: c for c in CUSTOMERS}
+    category = {p[0]: p[2] for p in PRODUCTS}
+    by_cust = defaultdict(list)
+    for i, o in enumerate(orders):
+        by_cust[o[0]].append((i, *o[1:]))
+    out = []
+    for cust, rows in by_cust.items():
+        c = info.get(cust)
+        days = [r[1] for r in rows if r[1] is not None]
+        totals = [r[3] for r in rows if r[3] is not None]
+        spent = sum(Decimal(repr(t)) for t in totals) if totals else None
+        last = max(days) if days else None
+        cats = defaultdict(int)
+        for oi, pid, _q, _p in items:
+            if any(r[0] == oi for r in rows):
+                cats[category.get(pid)] += 1
+        latest = min(rows, key=lambda r: (r[1] is None, -(r[1].toordinal() if r[1] else 0), f"O{r[0]}"))
+        signup = c[3] if c else None
+        out.append((cust, *(c[1:3] if c else (None, None)), *(c[4:6] if c else (None, None)), signup,
+                    len(rows), sum(r[2] == "completed" for r in rows), r2(spent) if spent is not None else None,
+                    r2(float(spent) / len(totals)) if totals else None,
+                    r2(sum(Decimal(repr(r[4])) for r in rows)), min(days) if days else None, last,
+                    (RUN - last).days if last else None,
+                    (last - signup).days if last and signup else None,
+                    _top(cats) if cats else None, latest[2], latest[5]))
+    return sorted(out, key=repr)
+
+
+def _tables(spark, orders, items, txn_orders):
+    o_rows = [(f"O{i}", *o) for i, o in enumerate(orders)]
+    i_rows = [(f"I{n}", f"O{oi}", pid, q, p) for n, (oi, pid, q, p) in enumerate(items)]
+    t_rows = [(f"T{i}", f"O{i}", dt.date(2020, 1, 1), 1.0, "success") for i in sorted(txn_orders)]
+    return dict(customers=make(spark, "customers", CUSTOMERS), products=make(spark, "products", PRODUCTS),
+                orders=make(spark, "orders", o_rows), order_items=make(spark, "order_items", i_rows),
+                transactions=make(spark, "transactions", t_rows))
+
+
+@SETTINGS
+@given(st.lists(p_order, min_size=6, max_size=6), st.lists(p_item, max_size=12), st.sets(st.integers(0, 7)))
+def test_order_summary_matches_brute_force(spark, orders, items, txn_orders):
+    t = _tables(spark, orders, items, txn_orders)
+    got = REPORTS["order_summary"].transform(**t, date="20240101").drop("ingestion_date")
+    got = sorted((tuple(r) for r in got.collect()), key=repr)
+    assert got == brute_order_summary(orders, items, {i for i in txn_orders if i < len(orders)})
+
+
+@SETTINGS
+@given(st.lists(p_order, min_size=6, max_size=6), st.lists(p_item, max_size=12))
+def test_customer_profile_matches_brute_force(spark, orders, items):
+    t = _tables(spark, orders, items, set())
+    rep = REPORTS["customer_profile_summary"]
+    got = rep.transform(**{k: t[k] for k in rep.inputs}, date="20240101").drop("ingestion_date")
+    got = sorted((tuple(r) for r in got.collect()), key=repr)
+    assert got == brute_profile(orders, items)
