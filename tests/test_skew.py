@@ -62,3 +62,27 @@ def test_hot_customer_totals(spark, skewed):
     df = rep.transform(**{x: skewed[x] for x in rep.inputs}, date=RUN_DATE)
     hot = df.filter(F.col("customer_id") == "C7").first()
     assert hot.total_orders == skewed["orders"].filter(F.col("customer_id") == "C7").count()
+
+
+def test_a_third_of_rows_copies_of_one_key(spark):
+    """De-duplication when one key's copies are a third of the table: the
+    kept row is the smallest copy, and the partial top-1 runs before the
+    shuffle, so each map task sends at most one copy of the hot key."""
+    import re
+
+    from tillroll.plans.cleaning import clean_order_items
+    from tillroll.sources import testdata
+
+    raw = testdata.raw_order_items(spark, SF_CHECK)
+    hot = F.abs(F.hash("order_item_id", "quantity")) % 3 == 0
+    copies = raw.withColumn("order_item_id", F.when(hot, F.lit("I-HOT")).otherwise(F.col("order_item_id")))
+    out = clean_order_items(copies)
+    kept = out.filter(F.col("order_item_id") == "I-HOT").collect()
+    assert len(kept) == 1
+    valid = copies.filter((F.col("order_item_id") == "I-HOT") & F.col("product_id").isNotNull()
+                          & (F.col("quantity") > 0) & (F.col("price_per_unit") > 0))
+    smallest = valid.orderBy("order_id", "product_id", "quantity", "price_per_unit").first()
+    assert (kept[0].order_id, kept[0].product_id, kept[0].quantity, kept[0].price_per_unit) == \
+        (smallest.order_id, smallest.product_id, smallest.quantity, smallest.price_per_unit)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"WindowGroupLimit .*Partial", plan)
