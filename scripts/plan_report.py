@@ -33,7 +33,8 @@ PATTERNS = {
 
 def executed_plan(df) -> str:
     df.collect()  # executes this query execution, so AQE finalises its plan
-    return df._jdf.queryExecution().executedPlan().toString()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("== Initial Plan ==")[0]  # the final (AQE) plan only
 
 
 def main() -> None:

@@ -248,6 +248,7 @@ def run(spark: SparkSession, cfg: JobConfig, sink=None, raw: dict[str, DataFrame
 
 def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(level=logging.INFO, stream=sys.stdout, format="%(asctime)s %(levelname)s %(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     cfg = parse_args(argv)
     spark = SparkSession.builder.appName("tillroll").getOrCreate()
     try:

@@ -23,6 +23,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--parallelism", type=int, default=1)
     a = p.parse_args(argv)
     logging.basicConfig(level=logging.INFO, stream=sys.stdout, format="%(asctime)s %(levelname)s %(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = SparkSession.builder.appName("tillroll-arrivals").getOrCreate()
     q = streaming.start(
         spark, a.landing, a.output_base, reports=tuple(r for r in a.reports.split(",") if r),
