@@ -76,9 +76,4 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local filesystem checks."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["configure", "local_session", "checkpoint_root", "scratch_path", "local_path"]
+__all__ = ["configure", "local_session", "checkpoint_root", "scratch_path"]
