@@ -47,6 +47,23 @@ def test_csv_reader_handles_dirty_text(spark, tmp_path):
     assert (out["O2"].order_date, out["O2"].total_amount, out["O2"].payment_method) == (None, None, "card, visa")
 
 
+def test_csv_columns_matched_by_header_name(spark, tmp_path):
+    path = tmp_path / "transactions.csv"
+    path.write_text(
+        "order_id,note,transaction_status,transaction_id,transaction_amount,transaction_date\n"
+        "O1,x,SUCCESS ,T1,12.50,2020-01-02 10:00:00\n"
+    )
+    raw = csv_source.read_raw_csv(spark, str(path), "transactions")
+    assert raw.columns == schemas.RAW_COLUMNS["transactions"]
+    assert all(t == "string" for _, t in raw.dtypes)
+    r = pipeline.clean_all({"transactions": raw})["transactions"].first()
+    assert (r.transaction_id, r.transaction_status, r.transaction_amount) == ("T1", "success", 12.5)
+    bad = tmp_path / "orders.csv"
+    bad.write_text("order_id,customer_id\nO1,C1\n")
+    with pytest.raises(ValueError):
+        csv_source.read_raw_csv(spark, str(bad), "orders")
+
+
 def test_csv_inferred_schema_option(spark, csv_base):
     raw = csv_source.read_raw_tables(spark, csv_base, ["order_items"], infer_schema=True)["order_items"]
     assert raw.columns == schemas.RAW_COLUMNS["order_items"]

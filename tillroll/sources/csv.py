@@ -1,17 +1,19 @@
 """The raw CSV inputs, one file (or directory of part files) per table
 under a base URI (any Hadoop filesystem: ``file:``, ``hdfs:``, object stores).
 
-The reference infers CSV schemas, which costs an extra pass over every file
-and silently turns a whole column into text when a single value is bad.
-Here every column is declared as text and parsed by the cleaners with
-lenient casts; inference stays available as an option.
+Schema inference costs an extra pass over every file and silently turns a
+whole column into text when a single value is bad.  Here every column is
+read as text and parsed by the cleaners with lenient casts; inference
+stays available as an option.  Columns are matched by header name, so a
+file with its columns in another order or with extra columns reads the
+same; a missing column is an error.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.schemas import RAW_COLUMNS, RAW_CSV, TABLES
+from tillroll.schemas import RAW_COLUMNS, TABLES
 
 # Whitespace is data (the cleaners decide what to trim), so neither side
 # strips it; NULL is written and read as an empty field.
@@ -29,11 +31,12 @@ def table_uri(base: str, table: str, suffix: str = ".csv") -> str:
 
 
 def read_raw_csv(spark: SparkSession, path: str, table: str, infer_schema: bool = False) -> DataFrame:
+    """One raw table; every column text unless ``infer_schema``."""
     reader = spark.read.options(**_IO_OPTIONS).option("mode", "PERMISSIVE")
-    if infer_schema:
-        df = reader.option("inferSchema", "true").csv(path)
-    else:
-        df = reader.schema(RAW_CSV[table]).option("enforceSchema", "false").csv(path)
+    df = reader.option("inferSchema", "true" if infer_schema else "false").csv(path)
+    missing = [c for c in RAW_COLUMNS[table] if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}")
     return df.select(*RAW_COLUMNS[table])
 
 
