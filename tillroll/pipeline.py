@@ -220,26 +220,24 @@ def run(spark: SparkSession, cfg: JobConfig, sink=None, raw: dict[str, DataFrame
     needed = needed_tables(cfg.reports)
     tables = load_clean(spark, cfg, needed) if raw is None else clean_all({t: raw[t] for t in needed})
     shared, release_inputs = share(spark, tables, input_uses(cfg.reports), cfg.materialize, cfg.parallelism)
-    # intermediates read by several reports are built once from the shared inputs
-    d_uses = derived_uses(cfg.reports)
-    derived = {d: DERIVED[d].build(*[shared[t] for t in DERIVED[d].inputs])
-               for d, n in d_uses.items() if n >= 2 and cfg.materialize != "none"}
-    derived, release_derived = share(spark, derived, d_uses, cfg.materialize, cfg.parallelism)
-    shared = {**shared, **derived}
-
-    def release() -> None:
-        release_derived()
-        release_inputs()
-
     try:
-        if cfg.parallelism > 1:
-            with ThreadPoolExecutor(max_workers=cfg.parallelism) as pool:
-                futures = {n: pool.submit(run_report, n, shared, cfg, sink) for n in cfg.reports}
-                results = {n: f.result() for n, f in futures.items()}
-        else:
-            results = {name: run_report(name, shared, cfg, sink) for name in cfg.reports}
+        # intermediates read by several reports are built once from the shared inputs
+        d_uses = derived_uses(cfg.reports)
+        derived = {d: DERIVED[d].build(*[shared[t] for t in DERIVED[d].inputs])
+                   for d, n in d_uses.items() if n >= 2 and cfg.materialize != "none"}
+        derived, release_derived = share(spark, derived, d_uses, cfg.materialize, cfg.parallelism)
+        frames = {**shared, **derived}
+        try:
+            if cfg.parallelism > 1:
+                with ThreadPoolExecutor(max_workers=cfg.parallelism) as pool:
+                    futures = {n: pool.submit(run_report, n, frames, cfg, sink) for n in cfg.reports}
+                    results = {n: f.result() for n, f in futures.items()}
+            else:
+                results = {name: run_report(name, frames, cfg, sink) for name in cfg.reports}
+        finally:
+            release_derived()
     finally:
-        release()
+        release_inputs()
     ok = [n for n, v in results.items() if v]
     log.info("%d/%d reports succeeded for %s; failed: %s", len(ok), len(results), cfg.run_date,
              [n for n, v in results.items() if not v])
