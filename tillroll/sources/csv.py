@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll.schemas import RAW_COLUMNS, TABLES
 
 # Whitespace is data (the cleaners decide what to trim), so neither side
-# strips it; NULL is written and read as an empty field.
+# strips it; NULL is written and read as an empty field, and an empty text
+# value reads as NULL too (CSV files from the upstream generator do not tell
+# the two apart).
 _IO_OPTIONS = {
     "header": "true",
     "ignoreLeadingWhiteSpace": "false",
