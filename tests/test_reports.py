@@ -266,3 +266,12 @@ def test_favorite_category_tie_breaks(spark):
     for ordered in (rows, rows[::-1]):
         fav = r4.favorite_category(orders, make(spark, "order_items", ordered), prods).first()
         assert fav.favorite_category == "A"  # A, B and NULL tie at one line each
+
+
+def test_tenure_can_be_negative(spark):
+    """Tenure is last purchase minus signup, negative when every order
+    predates the signup."""
+    customers = make(spark, "customers", [("C1", "a", "e", d("2021-06-01"), "R", "S")])
+    orders = make(spark, "orders", [("O1", "C1", d("2021-05-20"), "cancelled", 5.0, 0.0, "cash")])
+    r = r4.customer_order_metrics(orders, customers, DATE).first()
+    assert (r.customer_tenure_days, r.total_spent) == (-12, 5.0)
