@@ -63,7 +63,10 @@ def cohort_activity(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 def transform(orders, customers, date) -> DataFrame:
     activity = cohort_activity(orders, customers)
-    sizes = F.broadcast(cohort_sizes(customers))  # bounded: one row per calendar month
+    # Bounded by the calendar, not by data: one row per (year, month) a DATE
+    # can hold (years 1-9999) plus the NULL cohort, at most 119,989 rows of
+    # three small fields (a few MB), whatever the number of customers.
+    sizes = F.broadcast(cohort_sizes(customers))
     return activity.join(sizes, COHORT, "left").select(
         *COHORT, "activity_year", "activity_month", "periods_since_cohort", "cohort_size",
         "active_customers",
