@@ -11,9 +11,9 @@ month) with map-side partial aggregation — a customer with a huge number
 of orders contributes one row per active month.  After the inner join to
 the (unique) customers, every (customer, cohort, activity month) is
 unique, so ``active_customers`` is a plain count instead of an exact
-distinct count.  ``cohort_sizes`` has at most one row per calendar month
-of the signup dates — a bound set by the calendar, not by data volume —
-so it is broadcast to the activity rows.
+distinct count.  Both sides of the final join are aggregates with at most
+one row per cohort (and activity month); no broadcast is forced — AQE
+broadcasts on measured size and falls back to a sort-merge join.
 """
 
 from __future__ import annotations
@@ -63,11 +63,9 @@ def cohort_activity(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 def transform(orders, customers, date) -> DataFrame:
     activity = cohort_activity(orders, customers)
-    # Bounded by the calendar, not by data: one row per (year, month) a DATE
-    # can hold (years 1-9999) plus the NULL cohort, at most 119,989 rows of
-    # three small fields (a few MB), whatever the number of customers.
-    sizes = F.broadcast(cohort_sizes(customers))
-    return activity.join(sizes, COHORT, "left").select(
+    # Both sides are small aggregates (one row per cohort, and per cohort and
+    # activity month); Spark picks the join from their measured sizes.
+    return activity.join(cohort_sizes(customers), COHORT, "left").select(
         *COHORT, "activity_year", "activity_month", "periods_since_cohort", "cohort_size",
         "active_customers",
         pct("active_customers", "cohort_size").alias("retention_rate_pct"),
