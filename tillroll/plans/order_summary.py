@@ -1,10 +1,11 @@
 """R1 order_summary: one row per cleaned order, enriched with customer
 attributes, item totals, top category and the kept transaction.
 
-Plan shape: the three order-level inputs (item totals, top category,
-transaction) are keyed and partitioned on ``order_id``, like the cleaned
-orders themselves (their de-duplication shuffles on ``order_id``), so
-the order-level joins are co-partitioned sort-merge joins.  The customer
+Plan shape: the two order-level inputs (the item summary — totals and top
+category from one roll-up — and the kept transaction) are keyed and
+partitioned on ``order_id``, like the cleaned orders themselves (their
+de-duplication shuffles on ``order_id``), so the order-level joins are
+co-partitioned sort-merge joins.  The customer
 join comes last, so the wide order rows are shuffled by ``customer_id`` at
 most once (or not at all when the customer side is small enough for
 Spark to broadcast on its own size statistics).
@@ -67,13 +68,11 @@ def transform(orders, customers, order_items, products, transactions, date,
         "order_id", "transaction_id", "transaction_status", "transaction_date", "transaction_amount"
     )
     items = order_item_summary(order_items, products, order_category_lines)
-    per_order = orders.join(items, "order_id", "left").join(
-        txn, "order_id", "left"
-    )
+    per_order = orders.join(items, "order_id", "left").join(txn, "order_id", "left")
     enriched = per_order.join(customers.select("customer_id", *CUSTOMER_ATTRS), "customer_id", "left")
     total, discount = F.col("total_amount"), F.col("discount_amount")
     return enriched.select(
-        "order_id", "customer_id", *["customer_name", "email", "region", "customer_segment", "signup_date"],
+        "order_id", "customer_id", *CUSTOMER_ATTRS,
         "order_date", "order_status", "payment_method", "total_amount", "discount_amount",
         F.when(total > 0, round2(discount / total * F.lit(100))).otherwise(F.lit(0.0)).alias("discount_pct"),
         round2(total - discount).alias("net_amount"),
