@@ -13,10 +13,12 @@ customer_id (customers are unique), so the result is identical.
 join here multiplies them, so it is a plain conditional count (no
 distinct aggregation).
 
-The favourite category reuses the per-(order, category) line counts that
-R1 computes, joined to orders on ``order_id`` (inner: item lines of
-dropped orders would form a NULL customer that the final left join
-discards anyway).
+The last order (status and payment method of the latest order) is one
+more aggregate of the same per-customer roll-up, so orders are shuffled
+by customer once.  The favourite category reuses the per-(order, category)
+line counts shared with R1 (``order_lines``), joined to orders on
+``order_id`` (inner: item lines of dropped orders would form a NULL
+customer that the final left join discards anyway).
 """
 
 from __future__ import annotations
