@@ -11,11 +11,12 @@ MEMORY_AND_DISK — blocks lost with an executor are recomputed from lineage.
 ``checkpoint`` writes it to the cluster's ``spark.checkpoint.dir`` (shared
 storage) and cuts the lineage: a lost executor costs a re-read, not a
 re-clean, and the hash partitioning on the table key is kept, so later joins
-on that key still skip their shuffle.  ``table`` writes it as parquet, bucketed on
-the key its reports join or roll up on, to the same shared folder and reads
-it back through the catalog: durable, columnar (each report reads only its
-columns) and still co-partitioned — a join of two tables bucketed on
-``order_id`` needs no shuffle.  ``none`` re-plans each report from the
+on that key still skip their shuffle.  ``table`` writes it as parquet to the same
+shared folder and reads it back: durable and columnar (each report reads
+only its columns).  Tables de-duplicated on their join key are bucketed on
+it, aligned with their de-duplication shuffle (one file per bucket) and
+read back through the catalog, so they stay co-partitioned — a join of two
+tables bucketed on ``order_id`` needs no shuffle.  ``none`` re-plans each report from the
 sources (Catalyst then prunes each input to the columns that report reads).
 """
 
@@ -45,18 +46,26 @@ log = logging.getLogger("tillroll")
 
 MATERIALIZE = ("cache", "checkpoint", "table", "none")
 
-# Bucketing key of each shared cleaned table: the key its reports join or
-# roll up on (items: the order they belong to).
+# Bucketing key of each shared cleaned table: its de-duplication key, which
+# is also the key its reports join it on.  The table comes out of its
+# de-duplication hash-partitioned on that key, so with as many buckets as
+# that shuffle has partitions each write task holds whole buckets: one file
+# per bucket, no extra shuffle.  Items (de-duplicated on the item id, joined
+# on other keys) and the item roll-up are written as plain parquet.
 BUCKET_KEYS = {
     "customers": "customer_id",
     "products": "product_id",
     "orders": "order_id",
-    "order_items": "order_id",
     "transactions": "order_id",
-    "order_category_lines": "order_id",
 }
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """Initial partition count of a shuffle (AQE's initial number if set)."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @dataclass
 class JobConfig:
     """Job parameters.  Exactly one input: ``input_base`` (one CSV per table,
@@ -150,10 +159,13 @@ def share(spark: SparkSession, frames: dict[str, DataFrame], uses: dict[str, int
         if how == "checkpoint":
             return df.checkpoint(eager=True)
         if how == "table":
+            path = scratch_path(spark, f"shared-{t}")
+            if t not in BUCKET_KEYS:
+                df.write.mode("overwrite").parquet(path)
+                return spark.read.parquet(path)
             name = f"tillroll_{run_id}_{t}"
-            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            (df.write.format("parquet").bucketBy(buckets, BUCKET_KEYS[t])
-             .option("path", scratch_path(spark, f"shared-{t}")).mode("overwrite").saveAsTable(name))
+            (df.write.format("parquet").bucketBy(shuffle_partitions(spark), BUCKET_KEYS[t])
+             .option("path", path).mode("overwrite").saveAsTable(name))
             created.append(name)
             return spark.table(name)
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
