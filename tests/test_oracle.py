@@ -42,10 +42,17 @@ def test_every_query_has_an_oracle():
     assert set(E.oracle_sql()) == set(E.queries())
 
 
+# Spark type -> DuckDB type name of the same values
+SAME_TYPE = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     s_rows = [tuple(r) for r in df.collect()]
+    rel = duck.sql(E.oracle_sql()[name])
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert {c: SAME_TYPE.get(t, t) for c, t in df.dtypes} == d_types
     cur = duck.execute(E.oracle_sql()[name])
     d_cols = [c[0] for c in cur.description]
     d_rows = cur.fetchall()
