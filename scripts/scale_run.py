@@ -46,7 +46,8 @@ def main() -> None:
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
     for scale in scales:
         sizes = {k: int(v * scale) for k, v in synthetic.DEFAULT_SIZES.items()}
-        sizes["order_items"] = 3 * sizes["orders"]
+        if scale != 1:  # scale 1 keeps the upstream defaults exactly (2000 items)
+            sizes["order_items"] = 3 * sizes["orders"]
         raw = synthetic.generate(spark, sizes=sizes, seed=11, partitions=64)
         if data:
             base = os.path.join(data, f"scale-{int(scale)}")
