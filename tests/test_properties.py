@@ -40,9 +40,10 @@ def _num(x):
 
 
 def _day(x):
-    if x is None or x == "garbage":
+    try:
+        return dt.date.fromisoformat(x[:10])
+    except (TypeError, ValueError):
         return None
-    return dt.date.fromisoformat(x[:10])
 
 
 def brute_clean_orders(rows):
@@ -375,3 +376,69 @@ def test_csv_round_trip_keeps_text(spark, tmp_path_factory, rows):
     # NULL, as in the upstream CSV files, which do not tell the two apart
     expected = [tuple(None if v == "" else v for v in r) for r in rows]
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(expected, key=repr)
+
+
+# --- clean_transactions and clean_order_items ---------------------------------
+
+from tillroll.plans.cleaning import clean_order_items, clean_transactions  # noqa: E402
+
+raw_txn = st.tuples(st.sampled_from(["T1", "T2", "T3", "T10", None]), st.sampled_from(["O1", "O2", None]),
+                    st.sampled_from(["2020-01-05 10:00:00", "2020-01-05 23:59:59", "2020-01-06", "bad", None]),
+                    st.sampled_from(["1.5", "x", None, "2"]), st.sampled_from([" Success", "FAILED ", None, "void"]))
+
+
+def brute_clean_transactions(rows):
+    kept = [(tid, oid, _day(d), _num(a), s.strip().lower() if s is not None else None)
+            for tid, oid, d, a, s in rows if tid is not None and oid is not None]
+    best = {}
+    for r in kept:
+        d = r[2]
+        key = (d is None, -(d.toordinal()) if d else 0, r[0],
+               r[3] is None, r[3] or 0.0, r[4] is None, r[4] or "")
+        if r[1] not in best or key < best[r[1]][0]:
+            best[r[1]] = (key, r)
+    return sorted((v[1] for v in best.values()), key=repr)
+
+
+@SETTINGS
+@given(st.lists(raw_txn, max_size=12))
+def test_clean_transactions_matches_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, RAW_CSV["transactions"])
+    got = sorted((tuple(r) for r in clean_transactions(df).collect()), key=repr)
+    assert got == brute_clean_transactions(rows)
+
+
+raw_item = st.tuples(st.sampled_from(["I1", "I2", "I3", None]), st.sampled_from(["O1", "O2", None]),
+                     st.sampled_from(["P1", "P2", None]), st.sampled_from(["1", "3.7", "0", "-2", "1e30", "x", None]),
+                     st.sampled_from(["2.5", "-1", "0", "abc", None, "10"]))
+
+
+def _int(x):
+    v = _num(x)
+    if v is None or v != v or abs(v) >= 2**31:
+        return None
+    return int(v)  # truncation toward zero, like the double -> int cast
+
+
+def brute_clean_items(rows):
+    kept = []
+    for iid, oid, pid, q, p in rows:
+        if iid is None or oid is None or pid is None:
+            continue
+        qi, pf = _int(q), _num(p)
+        if qi is None or pf is None or not (qi > 0 and pf > 0):
+            continue
+        kept.append((iid, oid, pid, qi, pf))
+    best = {}
+    for r in kept:
+        if r[0] not in best or r[1:] < best[r[0]][1:]:
+            best[r[0]] = r
+    return sorted(best.values(), key=repr)
+
+
+@SETTINGS
+@given(st.lists(raw_item, max_size=12))
+def test_clean_order_items_matches_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, RAW_CSV["order_items"])
+    got = sorted((tuple(r) for r in clean_order_items(df).collect()), key=repr)
+    assert got == brute_clean_items(rows)
