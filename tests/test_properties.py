@@ -442,3 +442,49 @@ def test_clean_order_items_matches_brute_force(spark, rows):
     df = spark.createDataFrame(rows, RAW_CSV["order_items"])
     got = sorted((tuple(r) for r in clean_order_items(df).collect()), key=repr)
     assert got == brute_clean_items(rows)
+
+
+# --- clean_customers and clean_products ----------------------------------------
+
+from tillroll.plans.cleaning import clean_customers, clean_products  # noqa: E402
+
+TEXT = [" a", "b ", "\tc", "A", " ", None]
+raw_customer = st.tuples(st.sampled_from(["C1", "C2", None]), st.sampled_from(TEXT),
+                         st.sampled_from([" X@Y.Z ", "x@y.z", "Q@r.s", None]),
+                         st.sampled_from(["2020-01-05 10:00:00", "2019-12-31", "no", None]),
+                         st.sampled_from(TEXT), st.sampled_from(TEXT))
+raw_product = st.tuples(st.sampled_from(["P1", "P2", None]), st.sampled_from(TEXT), st.sampled_from(TEXT),
+                        st.sampled_from(TEXT), st.sampled_from(TEXT), st.sampled_from(["1.00", "n/a", None, "2"]))
+
+
+def _trim(x):
+    return x.strip(" ") if x is not None else None
+
+
+def _smallest_per_key(rows):
+    best = {}
+    for r in rows:
+        key = tuple((v is None, v if v is not None else 0) for v in r[1:])
+        if r[0] not in best or key < best[r[0]][0]:
+            best[r[0]] = (key, r)
+    return sorted((v[1] for v in best.values()), key=repr)
+
+
+@SETTINGS
+@given(st.lists(raw_customer, max_size=10))
+def test_clean_customers_matches_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, RAW_CSV["customers"])
+    got = sorted((tuple(r) for r in clean_customers(df).collect()), key=repr)
+    kept = [(cid, _trim(n), _trim(e).lower(), _day(d), _trim(r), _trim(s))
+            for cid, n, e, d, r, s in rows if cid is not None and e is not None]
+    assert got == _smallest_per_key(kept)
+
+
+@SETTINGS
+@given(st.lists(raw_product, max_size=10))
+def test_clean_products_matches_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, RAW_CSV["products"])
+    got = sorted((tuple(r) for r in clean_products(df).collect()), key=repr)
+    kept = [(pid, _trim(n), _trim(c), _trim(sc), _trim(b), _num(p))
+            for pid, n, c, sc, b, p in rows if pid is not None]
+    assert got == _smallest_per_key(kept)
