@@ -1,6 +1,9 @@
 """Print plan statistics (and optionally the formatted plan) per query.
 
-Usage: python scripts/plan_report.py [sf_dir] [--show name ...]
+Usage: python scripts/plan_report.py [sf_dir] [--no-broadcast] [--show name ...]
+
+``--no-broadcast`` turns Spark's size thresholds off, so the plans look as
+they would at scale, where no input fits under them.
 Counts shuffle exchanges, broadcast exchanges, sort-merge / broadcast joins,
 WindowGroupLimit nodes, Python evaluation nodes and cartesian products in the
 *executed* (post-AQE) plan.
@@ -40,8 +43,12 @@ def executed_plan(df) -> str:
 def main() -> None:
     args = sys.argv[1:]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
+    args = [a for a in args if a != sf_dir]
     show = args[args.index("--show") + 1:] if "--show" in args else []
     spark = local_session(8)
+    if "--no-broadcast" in args:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     for name, fn in QUERIES.items():
         if name in ("csv_roundtrip", "sink_partition_overwrite"):
             continue
