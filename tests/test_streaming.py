@@ -60,3 +60,19 @@ def test_incomplete_drop_fails_the_batch(spark, tmp_path):
                         checkpoint_location=str(tmp_path / "ckpt"))
     with pytest.raises(Exception):
         q.awaitTermination()
+
+
+def test_continuous_mode_processes_and_stops(spark, tmp_path):
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "wh")
+    drop(spark, landing, "20240108", 6)
+    seen = []
+    q = streaming.start(spark, landing, out, reports=("customer_retention",), available_now=False,
+                        processing_time="1 second", checkpoint_location=str(tmp_path / "ckpt"),
+                        sink=lambda df, name: seen.append(name))
+    try:
+        q.processAllAvailable()
+        assert seen == ["customer_retention"]
+        assert q.isActive
+    finally:
+        q.stop()
+    assert not q.isActive
