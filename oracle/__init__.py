@@ -25,9 +25,15 @@ def MSUM(x: str) -> str:
     return f"sum(TRY_CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18)))"
 
 
-def MAVG(x: str) -> str:
-    """Mean as the exact sum (correctly rounded to double) over the non-NULL count."""
-    return f"(CAST(CAST({MSUM(x)} AS VARCHAR) AS DOUBLE) / count({x}))"
+def R2_MEAN(x: str) -> str:
+    """HALF_UP cents of the exact mean of a money column, as double.  DuckDB
+    divides decimals in double precision, so the exact sum's unscaled value
+    (units of 1e-18) is divided in integers: round-half-up to cents."""
+    u = f"CAST(replace(CAST({MSUM(x)} AS VARCHAR), '.', '') AS HUGEINT)"
+    n = f"CAST(count({x}) AS HUGEINT)"
+    unit = "CAST(10000000000000000 AS HUGEINT)"  # 1e16 units of 1e-18 per cent
+    cents = f"sign({u}) * ((abs({u}) * 2 + {n} * {unit}) // (2 * {n} * {unit}))"
+    return f"(CASE WHEN count({x}) = 0 THEN NULL ELSE CAST({cents} AS DOUBLE) / 100 END)"
 
 
 # --- raw inputs: FIXTURES.md section 3, unchanged --------------------------------
@@ -267,7 +273,7 @@ customer_order_metrics AS (
 SELECT o.customer_id, c.customer_name, c.email, c.region, c.customer_segment, c.signup_date,
        count(o.order_id) AS total_orders,
        count(DISTINCT CASE WHEN o.order_status = 'completed' THEN o.order_id END) AS completed_orders,
-       {R2(MSUM('o.total_amount'))} AS total_spent, {R2(MAVG('o.total_amount'))} AS avg_order_value,
+       {R2(MSUM('o.total_amount'))} AS total_spent, {R2_MEAN('o.total_amount')} AS avg_order_value,
        {R2(MSUM('o.discount_amount'))} AS total_discounts_received,
        min(o.order_date) AS first_purchase_date, max(o.order_date) AS last_purchase_date,
        CAST({RUN_DATE_SQL} - max(o.order_date) AS INTEGER) AS days_since_last_purchase,
@@ -325,7 +331,7 @@ SELECT customer_id, customer_name, email, region, customer_segment,
        {R2("count(*) FILTER (WHERE transaction_status = 'success') / count(transaction_id) * 100")}
            AS transaction_success_rate_pct,
        {R2(MSUM('transaction_amount'))} AS total_transaction_value,
-       {R2(MAVG('transaction_amount'))} AS avg_transaction_value,
+       {R2_MEAN('transaction_amount')} AS avg_transaction_value,
        {R2('max(transaction_amount)')} AS max_transaction_value,
        {R2('min(transaction_amount)')} AS min_transaction_value,
        min(transaction_date) AS first_transaction_date, max(transaction_date) AS last_transaction_date

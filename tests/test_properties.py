@@ -152,7 +152,7 @@ def brute_customer_transactions(orders, txns):
             pays[r[3]] += 1
         pref = None if cust is None else min(pays, key=lambda p: (-pays[p], p is None, p or ""))
         out.append((cust, c[1] if c else None, c[2] if c else None, c[4] if c else None, c[5] if c else None,
-                    n, ok, bad, r2(ok / n * 100), r2(total), r2(float(total) / n),
+                    n, ok, bad, r2(ok / n * 100), r2(total), r2(total / n),
                     r2(max(r[1] for r in rows)), r2(min(r[1] for r in rows)),
                     min(days) if days else None, max(days) if days else None, pref))
     return sorted(out, key=repr)
@@ -273,7 +273,7 @@ def brute_profile(orders, items):
         signup = c[3] if c else None
         out.append((cust, *(c[1:3] if c else (None, None)), *(c[4:6] if c else (None, None)), signup,
                     len(rows), sum(r[2] == "completed" for r in rows), r2(spent) if spent is not None else None,
-                    r2(float(spent) / len(totals)) if totals else None,
+                    r2(spent / len(totals)) if totals else None,
                     r2(sum(Decimal(repr(r[4])) for r in rows)), min(days) if days else None, last,
                     (RUN - last).days if last else None,
                     (last - signup).days if last and signup else None,

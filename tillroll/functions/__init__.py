@@ -40,11 +40,12 @@ def money_sum(c: Column | str) -> Column:
 
 
 def money_avg(total: Column | str, n: Column | str) -> Column:
-    """Mean from an exact ``money_sum`` and a count of non-NULL values,
-    as double; NULL when the count is 0."""
+    """Exact mean of a ``money_sum`` over the count of non-NULL values, as a
+    decimal (18 places); NULL when the count is 0.  ``round2`` of it is the
+    HALF_UP cent of the true mean — no binary division noise."""
     total = F.col(total) if isinstance(total, str) else total
     n = F.col(n) if isinstance(n, str) else n
-    return F.try_divide(total.cast(DoubleType()), n)
+    return F.try_divide(total, n)
 
 
 def pct(part: Column | str, whole: Column | str) -> Column:
