@@ -8,9 +8,10 @@ import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillroll.llm import minhash
-from tillroll.llm.common import configure_python, table
+from tillroll.llm import digest, langid, minhash, mixing
+from tillroll.llm.common import configure_python, materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,11 +38,30 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op2_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.words().alias("size"))
+    mixed = mixing.mix(materialize(sized, "mix-sizes"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op8_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.with_next(table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", langid.held_out().alias("held_out"))
+    model = langid.train(docs.where("not held_out"))
+    return langid.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 _OPERATORS: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_systematic_mixing": op2_systematic_mixing,
+    "op8_quartile_digest": op8_quartile_digest,
+    "op9_language_id": op9_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_systematic_mixing": mixing.ORACLE_SQL}
 
 
 def _shipped(fn: Query) -> Query:
