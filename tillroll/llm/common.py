@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,7 @@ from tillroll.session import scratch_path
 #: A word is a maximal run of characters outside ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one vectorised step works on; a longer text is a step of its own.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 18
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -27,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def configure_python(spark: SparkSession) -> None:
     """Bound the Arrow batches that go to Python workers in bytes, not only in rows."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -38,6 +40,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def arrow_task(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """For ``mapInArrow``: give freed memory back to the system when a task ends,
+    as Python workers are kept for later tasks."""
+
+    @functools.wraps(fn)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def text_or_empty(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import steps, text_or_empty, utf8
+from tillroll.llm.common import arrow_task, steps, text_or_empty, utf8
 
 #: Bytes of text counted in one vectorised step.
 STEP = 1 << 18
@@ -158,6 +158,6 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     found = docs.agg(F.percentile_approx("doc_id", [k / ranges for k in range(ranges)], 100 * ranges), F.min("doc_id")).first()
     bounds = sorted({*(found[0] or []), *([found[1]] if found[1] is not None else [])})
     kind = docs.schema["doc_id"].dataType.simpleString()
-    spread = docs.mapInArrow(_spread(bounds, max(len(bounds) - 1, 0)), f"doc_id {kind}, text string, part int, after boolean")
+    spread = docs.mapInArrow(arrow_task(_spread(bounds, max(len(bounds) - 1, 0))), f"doc_id {kind}, text string, part int, after boolean")
     ordered = spread.repartition(ranges, "part").sortWithinPartitions("part", "after", F.col("doc_id").asc_nulls_last(), "text")
-    return ordered.mapInArrow(_compare, f"doc_id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return ordered.mapInArrow(arrow_task(_compare), f"doc_id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

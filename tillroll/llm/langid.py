@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import id_remainder, steps, utf8
+from tillroll.llm.common import arrow_task, id_remainder, steps, utf8
 
 BITS = 14
 SMOOTHING = 0.5
@@ -90,7 +90,7 @@ def train(docs: DataFrame, bits: int = BITS, smoothing: float = SMOOTHING) -> tu
     """Languages (sorted), log-probabilities (buckets x languages) and log-priors,
     from all rows of (text, lang) with a language.  What comes to the driver is
     one number for each bucket and language."""
-    counted = docs.where("lang is not null").select("text", "lang").mapInArrow(_count(bits), "lang string, bucket int, n bigint")
+    counted = docs.where("lang is not null").select("text", "lang").mapInArrow(arrow_task(_count(bits)), "lang string, bucket int, n bigint")
     got = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(got["lang"].unique().tolist())
     counts, rows = np.zeros((1 << bits, len(langs))), np.zeros(len(langs))
@@ -135,7 +135,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]) ->
     bits = int(len(log_p)).bit_length() - 1
     matrix = docs.sparkSession.sparkContext.broadcast((log_p, prior))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(_predict(langs, matrix, bits), f"{schema}, lang_pred string, score double")
+    return docs.mapInArrow(arrow_task(_predict(langs, matrix, bits)), f"{schema}, lang_pred string, score double")
 
 
 def held_out(divisor: int = 4, remainder: int = 2):

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import components, groups, materialize, mix64, prefix_hash, span_hash, steps, text_or_empty, utf8, word_bounds
+from tillroll.llm.common import arrow_task, components, groups, materialize, mix64, prefix_hash, span_hash, steps, text_or_empty, utf8, word_bounds
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -153,7 +153,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, th (hash of the text), node (fingerprint of the shingle multiset,
     null without a word), n_shingles, bands."""
-    return _keyed(docs).mapInArrow(_sign, _SIGNED.format(id=docs.schema["doc_id"].dataType.simpleString()))
+    return _keyed(docs).mapInArrow(arrow_task(_sign), _SIGNED.format(id=docs.schema["doc_id"].dataType.simpleString()))
 
 
 def _overlaps(data_a: np.ndarray, off_a: np.ndarray, data_b: np.ndarray, off_b: np.ndarray):
@@ -210,7 +210,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(
-        _verify(threshold), "a bigint, b bigint, similarity double, size bigint, shared bigint, novel array<bigint>"
+        arrow_task(_verify(threshold)), "a bigint, b bigint, similarity double, size bigint, shared bigint, novel array<bigint>"
     )
 
 
