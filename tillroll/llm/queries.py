@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import digest, langid, minhash, mixing
+from tillroll.llm import digest, langid, minhash, mixing, ordinal, sentencepiece
 from tillroll.llm.common import configure_python, materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,27 @@ def op2_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def graded_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings of the labelled documents: 0 toxic, 1 low quality, 2 good."""
+    labels = table(spark, sf_dir, "labels")
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
+    return labels.select("doc_id", grade.alias("grade"))
+
+
+def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    grades = graded_labels(spark, sf_dir).where(~langid.held_out())
+    # the sample is drawn before the texts are joined
+    sample = grades.where("grade is not null").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id", "grade").limit(ordinal.MOST)
+    model = ordinal.fit(docs.join(sample, "doc_id"))
+    scored = ordinal.score(docs.withColumn("held_out", langid.held_out()), model).drop("text")
+    return scored.withColumn("selected", F.col("p_top") >= 0.5)
+
+
 def op8_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.with_next(table(spark, sf_dir, "documents"))
 
@@ -57,6 +78,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OPERATORS: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_systematic_mixing": op2_systematic_mixing,
+    "op6_sentencepiece": op6_sentencepiece,
+    "op7_ordinal_quality": op7_ordinal_quality,
     "op8_quartile_digest": op8_quartile_digest,
     "op9_language_id": op9_language_id,
 }
