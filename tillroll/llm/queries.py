@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import digest, langid, minhash, mixing, ordinal, sentencepiece
+from tillroll.llm import digest, langid, minhash, mixing, ordinal, permutation, sentencepiece
 from tillroll.llm.common import configure_python, materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op2_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op5_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return permutation.search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
@@ -78,6 +83,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OPERATORS: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_systematic_mixing": op2_systematic_mixing,
+    "op5_permutation_index": op5_permutation_index,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_ordinal_quality": op7_ordinal_quality,
     "op8_quartile_digest": op8_quartile_digest,
