@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import digest, langid, minhash, mixing, ordinal, permutation, sentencepiece
+from tillroll.llm import bloomlm, digest, langid, minhash, mixing, ordinal, permutation, sentencepiece
 from tillroll.llm.common import configure_python, materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op10_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", bloomlm.held_out().alias("held_out"))
+    model, rare = bloomlm.train(docs.where("not held_out"))
+    return bloomlm.score(docs, model, rare)
+
+
 _OPERATORS: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_systematic_mixing": op2_systematic_mixing,
@@ -88,6 +94,7 @@ _OPERATORS: dict[str, Query] = {
     "op7_ordinal_quality": op7_ordinal_quality,
     "op8_quartile_digest": op8_quartile_digest,
     "op9_language_id": op9_language_id,
+    "op10_bloom_lm": op10_bloom_lm,
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_systematic_mixing": mixing.ORACLE_SQL}
