@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bloomlm, digest, langid, minhash, mixing, ordinal, permutation, sentencepiece, suffix
+from tillroll.llm import bloomlm, digest, langid, minhash, mixing, ordinal, permutation, pii, sentencepiece, suffix
 from tillroll.llm.common import configure_python, materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,10 @@ def op2_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op3_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
 
@@ -93,6 +97,7 @@ def op10_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OPERATORS: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_systematic_mixing": op2_systematic_mixing,
+    "op3_contextual_pii": op3_contextual_pii,
     "op4_suffix_repeats": op4_suffix_repeats,
     "op5_permutation_index": op5_permutation_index,
     "op6_sentencepiece": op6_sentencepiece,
