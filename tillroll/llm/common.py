@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillroll.session import scratch_path
 
@@ -55,6 +56,21 @@ def arrow_task(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]
     return run
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """df without the columns that an operator returns under these names."""
+    return df.drop(*names)
+
+
+def extended(df: DataFrame, added: str) -> StructType:
+    """The schema of df with further fields, given as DDL."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(added).fields])
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """doc_id, text and, as ``_row``, all columns of df, whatever their names."""
+    return df.select("doc_id", "text", F.struct("*").alias("_row"))
+
+
 def text_or_empty(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import arrow_task, id_remainder, steps, utf8
+from tillroll.llm.common import arrow_task, extended, id_remainder, steps, utf8, without
 
 BITS = 14
 SMOOTHING = 0.5
@@ -130,12 +130,13 @@ def _predict(langs: list[str], matrix, bits: int):
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]) -> DataFrame:
-    """All columns of docs with lang_pred and score, the posterior probability."""
+    """All columns of docs with lang_pred and score, the posterior probability;
+    columns of these names are replaced."""
     langs, log_p, prior = model
     bits = int(len(log_p)).bit_length() - 1
     matrix = docs.sparkSession.sparkContext.broadcast((log_p, prior))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(arrow_task(_predict(langs, matrix, bits)), f"{schema}, lang_pred string, score double")
+    docs = without(docs, "lang_pred", "score")
+    return docs.mapInArrow(arrow_task(_predict(langs, matrix, bits)), extended(docs, "lang_pred string, score double"))
 
 
 def held_out(divisor: int = 4, remainder: int = 2):

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import arrow_task, components, groups, materialize, mix64, prefix_hash, span_hash, steps, text_or_empty, utf8, word_bounds
+from tillroll.llm.common import arrow_task, components, groups, materialize, mix64, packed, prefix_hash, span_hash, steps, text_or_empty, utf8, word_bounds
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -287,9 +287,9 @@ def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """The documents with one of each class, the one with the smallest doc_id;
     rows repeated in full count as one."""
     first = classes(docs, threshold).where("is_first").select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
-    keyed = docs.withColumn("_text_hash", F.xxhash64(text_or_empty()))
-    kept = keyed.join(first, keyed.doc_id.eqNullSafe(first._id) & (keyed._text_hash == first._th), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_text_hash"]).select(*docs.columns)
+    keyed = packed(docs).withColumn("text", F.xxhash64(text_or_empty()))
+    kept = keyed.join(first, keyed.doc_id.eqNullSafe(first._id) & (keyed.text == first._th), "left_semi")
+    return kept.dropDuplicates(["doc_id", "text"]).select("_row.*")
 
 
 __all__ = ["bag_minhash", "band_keys", "classes", "jaccard", "keep_one", "shingles", "signatures"]

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import WORD, materialize, text_or_empty
+from tillroll.llm.common import WORD, materialize, text_or_empty, without
 
 #: One copy, in units of the exact prefix sums.
 UNIT = 1 << 24
@@ -68,7 +68,9 @@ def _keys(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """The documents (doc_id, source, size and any other columns) with
-    source_size, target and copies, the times the mix takes the document."""
+    source_size, target and copies, the times the mix takes the document; columns
+    of these names are replaced."""
+    docs = without(docs, "source_size", "target", "copies")
     keys = ["_source", "_octave", "_part"]
     buckets = materialize(_keys(docs.select("doc_id", "source", "size")).groupBy("source", *keys).agg(F.sum("size").alias("_size"), F.count("*").alias("_n")), "mix-buckets")
     targets = source_targets(buckets.groupBy("source").agg(F.sum("_size").alias("source_size")), weights, share, most)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import BYTE_CODE_LOWER, arrow_task, groups, mix64, prefix_hash, span_hash, steps, utf8
+from tillroll.llm.common import BYTE_CODE_LOWER, arrow_task, extended, prefix_hash, span_hash, steps, utf8, without
 
 BITS = 18
 #: Labelled rows that a fit may take.
@@ -148,8 +148,9 @@ def _score(shared, bits: int):
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of docs with expected_grade and p_top, the probability of the highest grade."""
+    """All columns of docs with expected_grade and p_top, the probability of the
+    highest grade; columns of these names are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     bits = int(len(model.weights)).bit_length() - 1
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(_score(shared, bits), f"{schema}, expected_grade double, p_top double")
+    docs = without(docs, "expected_grade", "p_top")
+    return docs.mapInArrow(_score(shared, bits), extended(docs, "expected_grade double, p_top double"))

@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import materialize, text_or_empty
+from tillroll.llm.common import materialize, packed, text_or_empty
 
 _LOCAL, _SPACE = r"A-Za-z0-9._%+-", r"\x20\x09-\x0D"
 KINDS = {
@@ -190,7 +190,7 @@ def redact(docs: DataFrame) -> DataFrame:
     by_place = Window.partitionBy("doc_id", "th").orderBy("lo", _number(), "hi").rowsBetween(Window.unboundedPreceding, -1)
     found = found.withColumn("_end", F.coalesce(F.max("hi").over(by_place), F.lit(0))).where("hi > _end")
     found = found.withColumn("_end", F.greatest(F.col("_end"), F.lit(0))).withColumn("lo", F.greatest("lo", "_end")).drop("_end")
-    joined = _with_spans(docs, found)
+    joined = _with_spans(packed(docs), found)
     ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("_s", lambda s: s["hi"]))
     piece = F.transform(
         F.arrays_zip(F.col("_s").alias("s"), F.slice(ends, F.lit(1), F.size("_s")).alias("e")),
@@ -198,4 +198,4 @@ def redact(docs: DataFrame) -> DataFrame:
     )
     rest = F.substring(F.col("text"), (F.element_at(ends, -1) + 1).cast("int"), F.length("text"))
     cleaned = F.when(F.size("_s") > 0, F.concat(F.array_join(piece, ""), rest)).otherwise(F.col("text"))
-    return joined.withColumn("text", cleaned).select(*docs.columns)
+    return joined.select(F.col("_row").withField("text", cleaned).alias("_row")).select("_row.*")

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tillroll.llm.common import arrow_task, mix64, steps, utf8
+from tillroll.llm.common import arrow_task, extended, mix64, steps, utf8, without
 
 SPACE = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -408,9 +408,11 @@ def _encode(path: str, column: str):
 
 def encode(docs: DataFrame, path: str = DEFAULT_MODEL, column: str = "text") -> DataFrame:
     """All columns of docs with piece_ids, n_pieces, and round_trip: whether
-    decoding the pieces gives the text back (null as empty)."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(_encode(path, column), f"{schema}, piece_ids array<int>, n_pieces bigint, round_trip boolean")
+    decoding the pieces gives the text back (null as empty); columns of these names
+    are replaced.  The space character of pieces (U+2581) in a text decodes to a
+    space, as in the library."""
+    docs = without(docs, "piece_ids", "n_pieces", "round_trip")
+    return docs.mapInArrow(_encode(path, column), extended(docs, "piece_ids array<int>, n_pieces bigint, round_trip boolean"))
 
 
 def _decode(path: str, column: str):
@@ -426,5 +428,5 @@ def _decode(path: str, column: str):
 
 def decode(pieces: DataFrame, path: str = DEFAULT_MODEL, column: str = "piece_ids") -> DataFrame:
     """All columns with ``decoded``, the text of the piece ids."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return pieces.mapInArrow(_decode(path, column), f"{schema}, decoded string")
+    pieces = without(pieces, "decoded")
+    return pieces.mapInArrow(_decode(path, column), extended(pieces, "decoded string"))
