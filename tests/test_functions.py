@@ -8,8 +8,11 @@ from tillroll.functions import (
     clean_code,
     clean_text,
     growth_pct,
-    money_avg,
+    money_mean,
+    money_round,
     money_sum,
+    money_total,
+    money_value,
     parse_run_date,
     pct,
     round2,
@@ -65,11 +68,30 @@ def test_money_sum_is_exact_and_order_independent(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     a = df.repartition(7).agg(money_sum("x").alias("s"), F.count("x").alias("n")).first()
     b = df.coalesce(1).agg(money_sum("x").alias("s"), F.count("x").alias("n")).first()
-    assert a.s == b.s
-    assert a.s == Decimal("1000002.005")
-    r = spark.createDataFrame([(a.s, a.n)], "s decimal(38,18), n long").select(
-        round2(money_avg("s", "n")).alias("avg")).first()
-    assert r.avg == round(1000002.005 / 16, 2)
+    assert a.s.exact == b.s.exact == Decimal("1000002.005") and not a.s.inexact
+    r = df.agg(money_sum("x").alias("s"), F.count("x").alias("n")).select(money_mean("s", "n").alias("avg"), money_round("s").alias("sum")).first()
+    assert (r.avg, r.sum) == (round(1000002.005 / 16, 2), 1000002.01)
+
+
+@pytest.mark.parametrize("odd, want", [(float("nan"), float("nan")), (float("inf"), float("inf")), (float("-inf"), float("-inf")),
+                                       (1e20, 1e20 + 10.25), (3e20, 3e20 + 10.25), (None, 10.25)])
+def test_no_amount_is_left_out_of_a_sum(spark, odd, want):
+    """Values without an exact decimal form give the plain double sum, in one level and in two, and the mean divides it by the same rows."""
+    df = spark.createDataFrame([(1, 10.0), (1, odd), (2, 0.25), (3, None)], "k int, x double")
+    same = lambda a, b: a == b or (a != a and b != b)
+    one_level = df.agg(money_sum("x").alias("s"), F.count("x").alias("n"))
+    two_level = df.groupBy("k").agg(money_sum("x").alias("s"), F.count("x").alias("n")).agg(money_total("s").alias("s"), F.sum("n").alias("n"))
+    for agg in (one_level, two_level):
+        r = agg.select(money_value("s").alias("v"), money_round("s").alias("r"), money_mean("s", "n").alias("m")).first()
+        assert same(r.v, want) and same(r.r, want)
+        assert same(r.m, want / 3 if odd is not None else 5.13)
+
+
+def test_overflow_of_the_exact_sum_is_no_partial_sum(spark):
+    df = spark.createDataFrame([(i % 3, 9e19) for i in range(9)], "k int, x double")
+    two = df.groupBy("k").agg(money_sum("x").alias("s")).agg(money_total("s").alias("s")).select(money_value("s").alias("v")).first()
+    assert two.v == pytest.approx(81e19)
+    assert df.limit(0).agg(money_sum("x").alias("s")).select(money_value("s").alias("v")).first().v is None
 
 
 def test_run_date_validation(spark):

@@ -34,18 +34,47 @@ def round2(c: Column | str) -> Column:
 
 
 def money_sum(c: Column | str) -> Column:
-    """Exact (order-independent) sum of a money column; NULL on overflow."""
+    """Aggregate: the exact (order-independent) sum of a money column.
+
+    A struct, so that sums of sums (``money_total``) stay exact: the decimal
+    sum, the plain double sum, and whether the decimal one is incomplete (a
+    value is NaN, infinite or 10^20 and more, or the sum overflows).  Read it
+    with ``money_value``, ``money_round`` or ``money_mean``."""
+    c = F.col(c) if isinstance(c, str) else c
+    exact = c.try_cast(MONEY_SUM_TYPE)
+    return _money(F.try_sum(exact), F.sum(c.cast(DoubleType())), F.max(c.isNotNull() & exact.isNull()))
+
+
+def money_total(c: Column | str) -> Column:
+    """Aggregate: the sum of ``money_sum`` structs."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.try_sum(c.try_cast(MONEY_SUM_TYPE))
+    return _money(F.try_sum(c["exact"]), F.sum(c["plain"]), F.max(c["inexact"]))
+
+
+def _money(exact: Column, plain: Column, inexact: Column) -> Column:
+    return F.struct(exact.alias("exact"), plain.alias("plain"), (inexact | (exact.isNull() & plain.isNotNull())).alias("inexact"))
+
+
+def money_value(total: Column | str) -> Column:
+    """The sum as a double: the plain double sum (NaN and infinity included)
+    where no exact one exists, NULL without values."""
+    total = F.col(total) if isinstance(total, str) else total
+    return F.when(total["inexact"], total["plain"]).otherwise(total["exact"].cast(DoubleType()))
+
+
+def money_round(total: Column | str) -> Column:
+    """The sum rounded to cents."""
+    total = F.col(total) if isinstance(total, str) else total
+    return F.when(total["inexact"], round2(total["plain"])).otherwise(round2(total["exact"]))
 
 
-def money_avg(total: Column | str, n: Column | str) -> Column:
-    """Exact mean of a ``money_sum`` over the count of non-NULL values, as a
-    decimal (18 places); NULL when the count is 0.  ``round2`` of it is the
-    HALF_UP cent of the true mean — no binary division noise."""
+def money_mean(total: Column | str, n: Column | str) -> Column:
+    """The mean of a money sum over the count of its non-NULL values, rounded
+    to cents: of the exact sum in decimal (the HALF_UP cent of the true mean, no
+    binary division noise), else of the plain one; NULL when the count is 0."""
     total = F.col(total) if isinstance(total, str) else total
     n = F.col(n) if isinstance(n, str) else n
-    return F.try_divide(total, n)
+    return F.when(total["inexact"], round2(F.try_divide(total["plain"], n))).otherwise(round2(F.try_divide(total["exact"], n)))
 
 
 def pct(part: Column | str, whole: Column | str) -> Column:
