@@ -2,9 +2,10 @@
 third of all item lines (derived from the driver's tables).
 
 Aggregations absorb such keys with map-side partial aggregation and every
-top-1 with a partial WindowGroupLimit; the remaining exposure is a join
-whose left side is hot, which AQE splits (``skew=true``).  The split plan
-must give exactly the rows of the unsplit plan."""
+top-1 with a partial WindowGroupLimit.  The joins whose fact side is hot
+(items to products, orders to customers) spread each key over salts."""
+
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,13 +49,45 @@ def collect(spark, t, name, conf):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize("name", ["order_summary", "monthly_sales", "customer_profile_summary"])
-def test_hot_keys_are_split_and_results_unchanged(spark, skewed, name):
+JOINS = {"order_summary": ["product_id", "customer_id"], "monthly_sales": ["product_id"], "customer_profile_summary": ["product_id"]}
+
+
+@pytest.mark.parametrize("name", list(JOINS))
+def test_hot_joins_are_salted_and_results_unchanged(spark, skewed, name, monkeypatch):
+    from tillroll import operators
+
     spark.catalog.clearCache()
-    split_rows, plan = collect(spark, skewed, name, SKEW_CONF)
-    assert "skew=true" in plan
-    plain_rows, _ = collect(spark, skewed, name, {**SKEW_CONF, "spark.sql.adaptive.skewJoin.enabled": "false"})
-    assert split_rows == plain_rows
+    rows, plan = collect(spark, skewed, name, SKEW_CONF)
+    for key in JOINS[name]:
+        assert re.search(rf"SortMergeJoin \[{key}#\d+, __tillroll_salt#\d+\]", plan), key
+    monkeypatch.setattr(operators, "SALTS", 1)
+    plain, _ = collect(spark, skewed, name, SKEW_CONF)
+    assert rows == plain
+
+
+@pytest.mark.parametrize("how", ["none", "cache", "table"])
+@pytest.mark.parametrize("fact, dimension, key, spread_by", [
+    ("order_items", "products", "product_id", "order_item_id"), ("orders", "customers", "customer_id", "order_id")])
+def test_largest_task_of_a_hot_join(spark, skewed, fact, dimension, key, spread_by, how):
+    """With a third of the rows on one key, the largest task of the join reads
+    well below a third of them, from plain, cached and bucketed inputs alike."""
+    from tillroll import pipeline
+    from tillroll.operators import salted_left_join
+
+    conf = {**SKEW_CONF, "spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.shuffle.partitions": "24"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        t, release = pipeline.share(spark, {x: skewed[x] for x in (fact, dimension)}, {fact: 2, dimension: 2}, how)
+        joined = salted_left_join(t[fact], t[dimension].select(key), key, spread_by)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == t[fact].count()
+        assert max(sizes) < 0.2 * sum(sizes), sizes
+        release()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_hot_customer_totals(spark, skewed):
@@ -68,8 +101,6 @@ def test_a_third_of_rows_copies_of_one_key(spark):
     """De-duplication when one key's copies are a third of the table: the
     kept row is the smallest copy, and the partial top-1 runs before the
     shuffle, so each map task sends at most one copy of the hot key."""
-    import re
-
     from tillroll.plans.cleaning import clean_order_items
     from tillroll.sources import testdata
 

@@ -61,6 +61,26 @@ def first_by(value: Column | str, order: Sequence[Column]) -> Column:
     return F.min_by(value, F.struct(*_cols(order)))
 
 
+#: Parts that ``salted_left_join`` spreads a key over.
+SALTS = 8
+_SALT = "__tillroll_salt"
+
+
+def salted_left_join(facts: DataFrame, dimension: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """``facts`` left-joined to ``dimension`` (one row for each ``key``) with
+    every key spread over ``SALTS`` partitions by a hash of ``spread_by``.
+
+    A key that owns a third of the facts never meets one task: each of its
+    parts joins its own copy of the key's one dimension row.  It holds for every
+    key and size (no detection, no threshold), at the price of shuffling the
+    dimension, cut to the few columns needed, ``SALTS`` times.  AQE's skew
+    split does not help here: the dimension comes out of its de-duplication
+    without an exchange of its own."""
+    salted = facts.withColumn(_SALT, F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
+    copies = dimension.withColumn(_SALT, F.explode(F.array(*[F.lit(k) for k in range(SALTS)])))
+    return salted.join(copies, [key, _SALT], "left").drop(_SALT)
+
+
 def count_where(pred: Column) -> Column:
     """Number of rows where ``pred`` is true (NULL counts as false)."""
     return F.count_if(pred)

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import money_avg, money_sum, round2, run_date_lit
+from tillroll.functions import money_mean, money_round, money_sum, run_date_lit
 from tillroll.operators import count_where, first_by, top1_per_key
 from tillroll.plans.order_summary import order_category_counts
 
@@ -58,9 +58,9 @@ def _metrics(per_customer: DataFrame, customers: DataFrame, date) -> DataFrame:
     last = F.col("last_purchase_date")
     return per_customer.join(customers.select("customer_id", *ATTRS), "customer_id", "left").select(
         "customer_id", *ATTRS, "total_orders", "completed_orders",
-        round2("_spent").alias("total_spent"),
-        round2(money_avg("_spent", "_n_amount")).alias("avg_order_value"),
-        round2("_discounts").alias("total_discounts_received"),
+        money_round("_spent").alias("total_spent"),
+        money_mean("_spent", "_n_amount").alias("avg_order_value"),
+        money_round("_discounts").alias("total_discounts_received"),
         "first_purchase_date", "last_purchase_date",
         F.datediff(run_date_lit(date), last).alias("days_since_last_purchase"),
         F.datediff(last, F.col("signup_date")).alias("customer_tenure_days"),

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import money_avg, money_sum, pct, round2, run_date_lit
+from tillroll.functions import money_mean, money_round, money_sum, money_total, pct, round2, run_date_lit
 from tillroll.operators import count_where, first_by
 
 ATTRS = ["customer_name", "email", "region", "customer_segment"]
@@ -52,7 +52,7 @@ def _txn_metrics(stats: DataFrame, customers: DataFrame) -> DataFrame:
         F.sum("n_txn").alias("total_transactions"),
         F.sum("n_success").alias("successful_transactions"),
         F.sum("n_failed").alias("failed_transactions"),
-        F.try_sum("amount_sum").alias("_sum"),
+        money_total("amount_sum").alias("_sum"),
         F.sum("amount_n").alias("_n"),
         F.max("amount_max").alias("_max"),
         F.min("amount_min").alias("_min"),
@@ -65,8 +65,8 @@ def _txn_metrics(stats: DataFrame, customers: DataFrame) -> DataFrame:
     return per_customer.join(customers.select("customer_id", *ATTRS), "customer_id", "left").select(
         "customer_id", *ATTRS, "total_transactions", "successful_transactions", "failed_transactions",
         pct("successful_transactions", "total_transactions").alias("transaction_success_rate_pct"),
-        round2("_sum").alias("total_transaction_value"),
-        round2(money_avg("_sum", "_n")).alias("avg_transaction_value"),
+        money_round("_sum").alias("total_transaction_value"),
+        money_mean("_sum", "_n").alias("avg_transaction_value"),
         round2("_max").alias("max_transaction_value"),
         round2("_min").alias("min_transaction_value"),
         "first_transaction_date", "last_transaction_date", "preferred_payment_method",

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions import growth_pct, money_sum, pct, ratio2, round2, run_date_lit
+from tillroll.functions import growth_pct, money_round, money_sum, pct, ratio2, run_date_lit
 from tillroll.operators import count_where
 
 STATUSES = ["completed", "shipped", "returned", "cancelled"]
@@ -36,8 +36,8 @@ def monthly_kpis(orders: DataFrame, transactions: DataFrame) -> DataFrame:
         F.count("order_id").alias("total_orders"),
         *[count_where(status == s).alias(f"{s}_orders") for s in STATUSES],
         F.count_distinct("customer_id").alias("unique_customers"),
-        round2(money_sum("total_amount")).alias("total_revenue"),
-        round2(money_sum("discount_amount")).alias("total_discounts"),
+        money_round(money_sum("total_amount")).alias("total_revenue"),
+        money_round(money_sum("discount_amount")).alias("total_discounts"),
         count_where(F.col("transaction_status") == "success").alias("successful_transactions"),
     )
     return m.select(

@@ -27,7 +27,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import ratio2, round2, run_date_lit
+from tillroll.functions import money_round, money_total, ratio2, round2, run_date_lit
+from tillroll.operators import salted_left_join
 from tillroll.plans.order_lines import lines_or_build
 
 GROUP = ["year", "month", "region", "category"]
@@ -41,7 +42,7 @@ def qualifying_orders(orders: DataFrame, customers: DataFrame, transactions: Dat
         orders.filter(F.col("order_status") == "completed")
         .select("order_id", "customer_id", "order_date")
         .join(ok_txn, "order_id", "left_semi")
-        .join(customers.select("customer_id", "region"), "customer_id", "left")
+        .transform(salted_left_join, customers.select("customer_id", "region"), "customer_id", "order_id")
         .select(
             "order_id", "customer_id", "order_date",
             F.year("order_date").alias("year"), F.month("order_date").alias("month"), "region",
@@ -55,7 +56,7 @@ def sales_lines(orders, customers, order_items, products, transactions) -> DataF
     q = qualifying_orders(orders, customers, transactions)
     return (
         order_items.join(q, "order_id", "inner")
-        .join(products.select("product_id", "category", "sub_category"), "product_id", "left")
+        .transform(salted_left_join, products.select("product_id", "category", "sub_category"), "product_id", "order_item_id")
         .select(
             "order_item_id", "order_id", "customer_id", "product_id", "category", "sub_category", "region",
             "order_date", "year", "month", "quantity", "price_per_unit",
@@ -80,13 +81,13 @@ def transform(orders, customers, order_items, products, transactions, date,
     per_customer = (
         per_order_cat.join(qualifying, "order_id", "inner")
         .groupBy("year", "month", "category", "customer_id")
-        .agg(F.count(F.lit(1)).alias("orders"), F.try_sum("revenue").alias("revenue"), F.sum("units").alias("units"))
+        .agg(F.count(F.lit(1)).alias("orders"), money_total("revenue").alias("revenue"), F.sum("units").alias("units"))
         .join(customers.select("customer_id", "region"), "customer_id", "left")
     )
     out = per_customer.groupBy(*GROUP).agg(
         F.sum("orders").alias("total_orders"),
         F.count("customer_id").alias("unique_customers"),
-        round2(F.try_sum("revenue")).alias("gross_revenue"),
+        money_round(money_total("revenue")).alias("gross_revenue"),
         F.sum("units").alias("total_units_sold"),
     )
     return out.select(

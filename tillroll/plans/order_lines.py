@@ -16,19 +16,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import money_sum, round2
+from tillroll.operators import salted_left_join
 
 
 def order_category_lines(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """(order_id, category, cat_count, units, revenue, line_revenue).
 
     ``cat_count`` counts item lines, ``units`` sums quantities, ``revenue``
-    is the exact sum of quantity x price, ``line_revenue`` the exact sum of
-    the cent-rounded line amounts.  Items of unknown products form a NULL
+    is the money sum of quantity x price, ``line_revenue`` that of the
+    cent-rounded line amounts.  Items of unknown products form a NULL
     category, which counts like any other."""
     amount = F.col("quantity") * F.col("price_per_unit")
     return (
         order_items.select("order_id", "product_id", "order_item_id", "quantity", "price_per_unit")
-        .join(products.select("product_id", "category"), "product_id", "left")
+        .transform(salted_left_join, products.select("product_id", "category"), "product_id", "order_item_id")
+        # on order_id alone: every reader joins or groups by it, with no shuffle of its own
+        .repartition("order_id")
         .groupBy("order_id", "category")
         .agg(
             F.count("order_item_id").alias("cat_count"),

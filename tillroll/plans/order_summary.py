@@ -16,8 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import money_sum, round2, run_date_lit
-from tillroll.operators import first_by, top1_per_key
+from tillroll.functions import money_round, money_sum, money_total, round2, run_date_lit
+from tillroll.operators import first_by, salted_left_join, top1_per_key
 from tillroll.plans.order_lines import lines_or_build
 
 CUSTOMER_ATTRS = ["customer_name", "email", "region", "customer_segment", "signup_date"]
@@ -43,7 +43,7 @@ def order_item_totals(order_items: DataFrame) -> DataFrame:
     return order_items.groupBy("order_id").agg(
         F.count("order_item_id").alias("total_line_items"),
         F.sum("quantity").alias("total_quantity"),
-        round2(money_sum(F.col("quantity") * F.col("price_per_unit"))).alias("items_revenue"),
+        money_round(money_sum(F.col("quantity") * F.col("price_per_unit"))).alias("items_revenue"),
     )
 
 
@@ -57,7 +57,7 @@ def order_item_summary(order_items: DataFrame, products: DataFrame, lines: DataF
     return lines_or_build(lines, order_items, products).groupBy("order_id").agg(
         F.sum("cat_count").alias("total_line_items"),
         F.sum("units").alias("total_quantity"),
-        round2(F.try_sum("revenue")).alias("items_revenue"),
+        money_round(money_total("revenue")).alias("items_revenue"),
         first_by(cat, [-F.col("cat_count"), cat.isNull(), cat]).alias("top_category"),
     )
 
@@ -69,7 +69,7 @@ def transform(orders, customers, order_items, products, transactions, date,
     )
     items = order_item_summary(order_items, products, order_category_lines)
     per_order = orders.join(items, "order_id", "left").join(txn, "order_id", "left")
-    enriched = per_order.join(customers.select("customer_id", *CUSTOMER_ATTRS), "customer_id", "left")
+    enriched = salted_left_join(per_order, customers.select("customer_id", *CUSTOMER_ATTRS), "customer_id", "order_id")
     total, discount = F.col("total_amount"), F.col("discount_amount")
     return enriched.select(
         "order_id", "customer_id", *CUSTOMER_ATTRS,
