@@ -9,6 +9,7 @@ chosen only when none is configured, which is the local/test case.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -59,11 +60,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     raises instead of silently using a folder only one machine can see."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             # a machine-local folder is invisible to other executors
             raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # the setting itself cannot change in a running session
         spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
@@ -76,4 +77,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["configure", "local_session", "checkpoint_root", "scratch_path"]
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete scratch data on whatever filesystem holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+__all__ = ["configure", "local_session", "checkpoint_root", "remove_path", "scratch_path"]

@@ -6,12 +6,15 @@ whole column into text when a single value is bad.  Here every column is
 read as text and parsed by the cleaners with lenient casts; inference
 stays available as an option.  Columns are matched by header name, so a
 file with its columns in another order or with extra columns reads the
-same; a missing column is an error.
+same; a missing column is an error, and so are part files of one table whose
+headers differ.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tillroll.schemas import RAW_COLUMNS, TABLES
 
@@ -35,7 +38,10 @@ def table_uri(base: str, table: str, suffix: str = ".csv") -> str:
 def read_raw_csv(spark: SparkSession, path: str, table: str, infer_schema: bool = False) -> DataFrame:
     """One raw table; every column text unless ``infer_schema``."""
     reader = spark.read.options(**_IO_OPTIONS).option("mode", "PERMISSIVE")
-    df = reader.option("inferSchema", "true" if infer_schema else "false").csv(path)
+    found = reader.option("inferSchema", "true" if infer_schema else "false").csv(path)
+    # names come from one file's header; every part file's own is checked against
+    # them while it is read, so parts in different column orders fail
+    df = reader.option("enforceSchema", "false").schema(found.schema).csv(path)
     missing = [c for c in RAW_COLUMNS[table] if c not in df.columns]
     if missing:
         raise ValueError(f"{path}: missing columns {missing}")
@@ -48,8 +54,16 @@ def read_raw_tables(spark: SparkSession, base: str, names=None, infer_schema: bo
     return {t: read_raw_csv(spark, table_uri(base, t, suffix), t, infer_schema) for t in names}
 
 
+def _one_line(name: str) -> Column:
+    broken = F.col(name).rlike("[\\r\\n]")
+    return F.when(broken, F.raise_error(F.lit(f"column {name} holds text with a line break")).cast("string")).otherwise(F.col(name))
+
+
 def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a raw table as header CSV (part files under ``path``)."""
+    """Write a raw table as header CSV (part files under ``path``).  Text with a
+    line break, which the splittable reader cannot read back, fails the write."""
+    texts = {f.name: _one_line(f.name) for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    df = df.withColumns(texts)
     df.write.options(**_IO_OPTIONS).mode(mode).csv(path)
 
 
