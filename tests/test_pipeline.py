@@ -203,6 +203,87 @@ def test_shared_intermediates_give_stand_alone_results(spark):
         assert got[n] == sorted(map(tuple, alone.collect()), key=repr), n
 
 
+def test_only_what_is_read_twice_is_shared():
+    """order_items and products reach their readers through the roll-up alone."""
+    uses = pipeline.input_uses(tuple(REPORTS), ["order_category_lines"])
+    assert uses["order_items"] == uses["products"] == 1
+    assert uses["orders"] == 6 and uses["transactions"] == 4 and uses["customers"] == 5
+    assert pipeline.input_uses(("order_summary",))["order_items"] == 1
+
+
+@pytest.mark.parametrize("how", ["cache", "table"])
+def test_a_failing_intermediate_fails_only_its_readers(spark, tmp_path, monkeypatch, how):
+    from tillroll.plans import DERIVED, Derived
+
+    def broken(order_items, products):
+        raise RuntimeError("boom")
+
+    monkeypatch.setitem(DERIVED, "order_category_lines", Derived("order_category_lines", ("order_items", "products"), broken))
+    spark.catalog.clearCache()
+    before = len(spark.catalog.listTables())
+    cfg = pipeline.JobConfig(sf_dir=SF_SMALL, output_base=str(tmp_path / "wh"), run_date=RUN_DATE, materialize=how)
+    results = pipeline.run(spark, cfg)
+    readers = {"order_summary", "monthly_sales", "customer_profile_summary"}
+    assert results == {n: n not in readers for n in REPORTS}
+    assert len(spark.catalog.listTables()) == before
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_a_failing_materialisation_releases_the_others(spark):
+    good = spark.range(5).toDF("x")
+    bad = spark.range(5).selectExpr("raise_error('boom') as x")
+    spark.catalog.clearCache()
+    for how in ("cache", "table"):
+        with pytest.raises(Exception, match="boom"):
+            pipeline.share(spark, {"good": good, "bad": bad}, {"good": 2, "bad": 2}, how)
+        assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_written_shared_tables_are_deleted(spark):
+    frames, release = pipeline.share(spark, {"x": spark.range(5).toDF("x")}, {"x": 2}, "table")
+    files = frames["x"].inputFiles()
+    assert files and all(os.path.exists(f.removeprefix("file:").replace("///", "/")) for f in files)
+    release()
+    assert not any(os.path.exists(f.removeprefix("file:").replace("///", "/")) for f in files)
+
+
+def test_csv_parts_with_other_headers_fail(spark, tmp_path):
+    d = tmp_path / "transactions.csv"
+    d.mkdir()
+    (d / "a.csv").write_text("order_id,transaction_id,transaction_date,transaction_amount,transaction_status\nO1,T1,2020-01-01,1.0,success\n")
+    (d / "b.csv").write_text("transaction_id,order_id,transaction_date,transaction_amount,transaction_status\nT2,O2,2020-01-01,1.0,success\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        csv_source.read_raw_csv(spark, str(d), "transactions").collect()
+
+
+def test_csv_write_refuses_line_breaks(spark, tmp_path):
+    df = spark.createDataFrame([("P1", "a\nb")], "product_id string, product_name string")
+    with pytest.raises(Exception, match="line break"):
+        csv_source.write_raw_csv(df, str(tmp_path / "products.csv"))
+
+
+def test_session_without_a_checkpoint_folder():
+    """In a session that has none set, local mode uses a private folder and a cluster refuses."""
+    import subprocess
+    import sys
+
+    code = f"""
+import sys; sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from pyspark.sql import SparkSession
+from tillroll import pipeline
+from tillroll.catalog import QUERIES
+s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').config('spark.sql.shuffle.partitions', '2').getOrCreate()
+assert s.conf.get('spark.checkpoint.dir', None) is None
+assert QUERIES['csv_roundtrip'](s, {SF_SMALL!r}).count() > 0
+cfg = pipeline.JobConfig(sf_dir={SF_SMALL!r}, run_date={RUN_DATE!r}, reports=('customer_retention', 'monthly_performance'), materialize='table')
+assert all(pipeline.run(s, cfg, sink=lambda df, n: df.count()).values())
+print('RAN')
+"""
+    env = {**os.environ, "SPARK_CONF_DIR": os.path.dirname(os.path.abspath(__file__))}
+    got = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, env=env, timeout=300)
+    assert "RAN" in got.stdout, got.stderr[-2000:]
+
+
 def test_run_on_preloaded_raw_tables(spark):
     from tillroll.sources import testdata
 

@@ -38,7 +38,7 @@ from tillroll import sinks
 from tillroll.functions import parse_run_date
 from tillroll.plans import DERIVED, REPORTS
 from tillroll.plans.cleaning import clean_all
-from tillroll.session import checkpoint_root, configure, scratch_path
+from tillroll.session import checkpoint_root, configure, remove_path, scratch_path
 from tillroll.sources import csv as csv_source
 from tillroll.sources import testdata
 
@@ -144,8 +144,8 @@ def share(spark: SparkSession, frames: dict[str, DataFrame], uses: dict[str, int
     """Materialise the frames that more than one report reads (``uses``).
 
     Returns the frames to use and a ``release`` callback that drops what was
-    created (cached blocks, or the catalog entries of written tables — their
-    files stay in the shared folder).  Materialisation is eager (one job per
+    created (cached blocks; written tables with their files).  A failure drops
+    what other frames have created, then raises.  Materialisation is eager (one job per
     frame, submitted concurrently up to ``parallelism``) so that reports
     running side by side never compute the same frame twice."""
     shared = [] if how == "none" else [t for t in frames if uses.get(t, 0) >= 2]
@@ -153,6 +153,8 @@ def share(spark: SparkSession, frames: dict[str, DataFrame], uses: dict[str, int
         checkpoint_root(spark)
     run_id = uuid.uuid4().hex[:12]
     created: list[str] = []
+    written: list[str] = []
+    cached: list[DataFrame] = []
 
     def materialise(t: str) -> DataFrame:
         df = frames[t]
@@ -160,36 +162,48 @@ def share(spark: SparkSession, frames: dict[str, DataFrame], uses: dict[str, int
             return df.checkpoint(eager=True)
         if how == "table":
             path = scratch_path(spark, f"shared-{t}")
+            written.append(path)
             if t not in BUCKET_KEYS:
                 df.write.mode("overwrite").parquet(path)
                 return spark.read.parquet(path)
             name = f"tillroll_{run_id}_{t}"
+            created.append(name)
             (df.write.format("parquet").bucketBy(shuffle_partitions(spark), BUCKET_KEYS[t])
              .option("path", path).mode("overwrite").saveAsTable(name))
-            created.append(name)
             return spark.table(name)
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(df)
         df.count()
         return df
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(shared) or 1))) as pool:
-        done = dict(zip(shared, pool.map(materialise, shared)))
-
     def release() -> None:
-        if how == "cache":
-            for df in done.values():
-                df.unpersist()
+        for df in cached:
+            df.unpersist()
         for name in created:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for path in written:
+            remove_path(spark, path)
+
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(shared) or 1))) as pool:
+            done = dict(zip(shared, pool.map(materialise, shared)))
+    except BaseException:
+        release()
+        raise
 
     return {t: done.get(t, df) for t, df in frames.items()}, release
 
 
-def input_uses(reports) -> dict[str, int]:
-    """How many of ``reports`` read each cleaned table."""
+def input_uses(reports, derived=()) -> dict[str, int]:
+    """How many readers each cleaned table has: the reports that read it other
+    than through the shared ``derived`` frames, and those frames."""
     uses: dict[str, int] = {}
+    readers = [DERIVED[d].inputs for d in derived]
     for r in reports:
-        for t in REPORTS[r].inputs:
+        through = {t for d in REPORTS[r].derived if d in derived for t in DERIVED[d].inputs}
+        readers.append([t for t in REPORTS[r].inputs if t not in through])
+    for tables in readers:
+        for t in tables:
             uses[t] = uses.get(t, 0) + 1
     return uses
 
@@ -231,25 +245,34 @@ def run(spark: SparkSession, cfg: JobConfig, sink=None, raw: dict[str, DataFrame
     configure(spark)
     needed = needed_tables(cfg.reports)
     tables = load_clean(spark, cfg, needed) if raw is None else clean_all({t: raw[t] for t in needed})
-    shared, release_inputs = share(spark, tables, input_uses(cfg.reports), cfg.materialize, cfg.parallelism)
+    d_uses = derived_uses(cfg.reports)
+    # intermediates read by several reports are built once from the shared inputs
+    derived = [d for d, n in d_uses.items() if n >= 2 and cfg.materialize != "none"]
+    shared, release_inputs = share(spark, tables, input_uses(cfg.reports, derived), cfg.materialize, cfg.parallelism)
+    releases = [release_inputs]
     try:
-        # intermediates read by several reports are built once from the shared inputs
-        d_uses = derived_uses(cfg.reports)
-        derived = {d: DERIVED[d].build(*[shared[t] for t in DERIVED[d].inputs])
-                   for d, n in d_uses.items() if n >= 2 and cfg.materialize != "none"}
-        derived, release_derived = share(spark, derived, d_uses, cfg.materialize, cfg.parallelism)
-        frames = {**shared, **derived}
-        try:
-            if cfg.parallelism > 1:
-                with ThreadPoolExecutor(max_workers=cfg.parallelism) as pool:
-                    futures = {n: pool.submit(run_report, n, frames, cfg, sink) for n in cfg.reports}
-                    results = {n: f.result() for n, f in futures.items()}
-            else:
-                results = {name: run_report(name, frames, cfg, sink) for name in cfg.reports}
-        finally:
-            release_derived()
+        frames, broken = dict(shared), set()
+        for d in derived:
+            try:
+                built = {d: DERIVED[d].build(*[shared[t] for t in DERIVED[d].inputs])}
+                got, release = share(spark, built, d_uses, cfg.materialize, cfg.parallelism)
+                releases.append(release)
+                frames.update(got)
+            except Exception:  # noqa: BLE001 - only the reports that read it fail
+                log.exception("failed intermediate %s", d)
+                broken.add(d)
+        results = {n: False for n in cfg.reports if broken & set(REPORTS[n].derived)}
+        todo = [n for n in cfg.reports if n not in results]
+        if cfg.parallelism > 1:
+            with ThreadPoolExecutor(max_workers=cfg.parallelism) as pool:
+                futures = {n: pool.submit(run_report, n, frames, cfg, sink) for n in todo}
+                results.update({n: f.result() for n, f in futures.items()})
+        else:
+            results.update({name: run_report(name, frames, cfg, sink) for name in todo})
+        results = {n: results[n] for n in cfg.reports}
     finally:
-        release_inputs()
+        for release in reversed(releases):
+            release()
     ok = [n for n, v in results.items() if v]
     log.info("%d/%d reports succeeded for %s; failed: %s", len(ok), len(results), cfg.run_date,
              [n for n, v in results.items() if not v])
