@@ -15,9 +15,35 @@ def drop(spark, landing, date, seed):
 
 
 def test_drop_dirs_parsing():
-    got = streaming.drop_dirs(["file:/l/20240102/orders.csv", "file:/l/20240101/orders.csv/part-0.csv",
-                               "file:/l/tmp/orders.csv", "file:/l/20240101/orders.csv/part-1.csv"])
-    assert got == [("file:/l/20240101", "20240101"), ("file:/l/20240102", "20240102")]
+    m = streaming.MARKER
+    got = streaming.drop_dirs([f"file:/l/20240102/{m}", f"file:/l/20240101/{m}/part-0.csv",
+                               f"file:/l/tmp/{m}", f"file:/l/20240101/{m}/part-1.csv"])
+    assert got == [("file:/l/20240101", "20240101"), ("file:/l/20240102", "20240102"), ("file:/l/tmp", None)]
+
+
+def test_a_bad_drop_fails_after_the_good_ones(spark, tmp_path):
+    import pytest
+
+    landing = str(tmp_path / "landing")
+    drop(spark, landing, "not-a-date", 1)
+    drop(spark, landing, "20240109", 2)
+    seen = []
+    q = streaming.start(spark, landing, str(tmp_path / "wh"), reports=("customer_retention",),
+                        checkpoint_location=str(tmp_path / "ckpt"), sink=lambda df, name: seen.append(name))
+    with pytest.raises(Exception, match="not-a-date"):
+        q.awaitTermination()
+    assert seen == ["customer_retention"]
+
+
+def test_a_drop_still_being_written_is_left_alone(spark, tmp_path):
+    landing = tmp_path / "landing" / "20240110"
+    landing.mkdir(parents=True)
+    (landing / "orders.csv").write_text("order_id\n")
+    seen = []
+    q = streaming.start(spark, str(tmp_path / "landing"), str(tmp_path / "wh"), reports=("customer_retention",),
+                        checkpoint_location=str(tmp_path / "ckpt"), sink=lambda df, name: seen.append(name))
+    q.awaitTermination()
+    assert seen == []
 
 
 def test_each_drop_runs_once(spark, tmp_path):
@@ -54,8 +80,7 @@ def test_incomplete_drop_fails_the_batch(spark, tmp_path):
 
     landing = tmp_path / "landing" / "20240107"
     landing.mkdir(parents=True)
-    (landing / "orders.csv").write_text("order_id,customer_id,order_date,order_status,total_amount,"
-                                        "discount_amount,payment_method\n")
+    (landing / streaming.MARKER).write_text("transaction_id,order_id,transaction_date,transaction_amount,transaction_status\n")
     q = streaming.start(spark, str(tmp_path / "landing"), str(tmp_path / "wh"), reports=("customer_retention",),
                         checkpoint_location=str(tmp_path / "ckpt"))
     with pytest.raises(Exception):

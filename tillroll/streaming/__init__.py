@@ -2,12 +2,12 @@
 
 The reports themselves are batch snapshots; what is continuous upstream is
 the arrival of input drops.  The scheduler the job was written for waits for
-``orders.csv`` to appear and then submits the batch job.  Here that is a
+a file of the drop to appear and then submits the batch job.  Here that is a
 Structured Streaming query over the landing area::
 
     <landing>/<yyyyMMdd>/{customers,products,orders,order_items,transactions}.csv
 
-The stream watches for ``orders.csv`` (the file source lists the landing
+The stream watches for ``transactions.csv``, the last file written (the file source lists the landing
 area and reads only file paths — the ``binaryFile`` content column is
 pruned, so the trigger reads no data), and every micro-batch runs
 the batch job once per new drop, with the folder name as the run date.
@@ -34,7 +34,8 @@ from tillroll.session import checkpoint_root
 
 log = logging.getLogger("tillroll.streaming")
 
-MARKER = "orders.csv"
+#: The last of the five files that a drop is written in: when it is there, all are.
+MARKER = "transactions.csv"
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -43,15 +44,15 @@ def arrivals(spark: SparkSession, landing: str, max_files_per_trigger: int | Non
     reader = spark.readStream.format("binaryFile").schema(_FILE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    # ``orders.csv`` may be one file or a directory of part files (as Spark
+    # The marker may be one file or a directory of part files (as Spark
     # writes it); hidden and ``_temporary`` entries of an unfinished write
     # are never listed.
     return reader.load(f"{landing.rstrip('/')}/*/{MARKER}").select("path")
 
 
-def drop_dirs(paths) -> list[tuple[str, str]]:
-    """(drop directory, run date) for each marker path; folders whose name is
-    not a yyyyMMdd date are skipped with a warning."""
+def drop_dirs(paths) -> list[tuple[str, str | None]]:
+    """(drop directory, run date) for each marker path; the date is None
+    for a folder whose name is not a yyyyMMdd date."""
     out = set()
     for p in paths:
         cut = p.rfind(f"/{MARKER}")
@@ -62,10 +63,10 @@ def drop_dirs(paths) -> list[tuple[str, str]]:
         try:
             parse_run_date(name)
         except ValueError:
-            log.warning("skipping drop %s: folder name is not a yyyyMMdd date", folder)
+            out.add((folder, None))
             continue
         out.add((folder, name))
-    return sorted(out, key=lambda x: x[1])
+    return sorted(out, key=lambda x: (x[1] is None, x[1] or "", x[0]))
 
 
 def default_checkpoint(spark: SparkSession, landing: str) -> str:
@@ -91,11 +92,19 @@ def start(spark: SparkSession, landing: str, output_base: str, *, reports=tuple(
         paths = [r.path for r in batch.select(marker).distinct().toLocalIterator()]
         failed = []
         for folder, run_date in drop_dirs(paths):
+            if run_date is None:
+                # fails the batch after the other drops: skipped, it would be recorded as handled
+                failed.append(f"{folder}: not a yyyyMMdd folder")
+                continue
             cfg = pipeline.JobConfig(
                 input_base=folder, output_base=output_base, run_date=run_date, reports=tuple(reports),
                 materialize=materialize, parallelism=parallelism, write_mode=write_mode,
             )
-            results = pipeline.run(spark, cfg, sink=sink)
+            try:
+                results = pipeline.run(spark, cfg, sink=sink)
+            except Exception:  # noqa: BLE001 - one drop's failure leaves the others to run
+                log.exception("drop %s failed", run_date)
+                results = {"inputs": False}
             log.info("epoch %d drop %s: %s", epoch_id, run_date, results)
             failed += [f"{run_date}/{n}" for n, ok in results.items() if not ok]
         if failed:
