@@ -47,11 +47,10 @@ SELECT concat('C', CAST(c_custkey AS string)) AS customer_id,
        concat(' ', r_name) AS region,
        concat(c_mktsegment, ' ') AS customer_segment
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-WHERE c_custkey % 29 <> 28
 UNION ALL
 SELECT concat('C', CAST(c_custkey AS string)), concat(c_name, ' (dup)'), concat(c_name, '@dup.example.com'),
        CAST(DATE '1996-01-01' AS timestamp), 'EUROPE', c_mktsegment
-FROM customer WHERE c_custkey % 40 = 7 AND c_custkey % 29 <> 28
+FROM customer WHERE c_custkey % 40 = 7
 ),
 raw_products AS (
 SELECT CASE WHEN p_partkey % 97 = 96 THEN NULL ELSE concat('P', CAST(p_partkey AS string)) END AS product_id,
@@ -66,7 +65,8 @@ FROM part WHERE p_partkey % 50 = 7 AND p_partkey % 97 <> 96
 ),
 raw_orders AS (
 SELECT concat('O', CAST(o_orderkey AS string)) AS order_id,
-       CASE WHEN o_orderkey % 503 = 502 THEN NULL ELSE concat('C', CAST(o_custkey AS string)) END AS customer_id,
+       CASE WHEN o_orderkey % 503 = 502 THEN NULL WHEN o_orderkey % 29 = 28 THEN concat('X', CAST(o_custkey AS string))
+            ELSE concat('C', CAST(o_custkey AS string)) END AS customer_id,
        CASE WHEN o_orderkey % 401 = 400 THEN NULL ELSE o_orderdate END AS order_date,
        CASE WHEN o_orderkey % 97 = 96 THEN 'pending'
             WHEN o_orderkey % 20 < 14 THEN ' Completed '
@@ -99,7 +99,7 @@ SELECT CASE WHEN l_orderkey % 307 = 306 THEN NULL
        CASE WHEN l_orderkey % 211 = 5 AND l_linenumber = 1 THEN NULL ELSE l_shipdate END AS transaction_date,
        l_extendedprice AS transaction_amount,
        CASE WHEN (l_orderkey * 7 + l_linenumber) % 20 = 0 THEN ' Failed' ELSE 'SUCCESS ' END AS transaction_status
-FROM lineitem WHERE l_linenumber <= 2
+FROM lineitem
 )"""
 
 # --- cleaned tables: the cleaning rules, with the fixed tie-break orders ----------
@@ -427,5 +427,10 @@ ORACLE_SQL: dict[str, str] = {
     "customer_retention": _q([_COHORTS, _RETENTION], "SELECT * FROM customer_retention"),
     # I/O paths: same results as the in-memory reports they wrap.
     "csv_roundtrip": _q(_SUMMARY, "SELECT * FROM order_summary"),
+    "csv_roundtrip_inferred": _q(_SUMMARY, "SELECT * FROM order_summary"),
+    "order_summary_shared": _q(_SUMMARY, "SELECT * FROM order_summary"),
+    "monthly_sales_shared": _q(_SALES, "SELECT * FROM monthly_sales"),
+    "customer_profile_shared": _q(_PROFILE, "SELECT * FROM customer_profile_summary"),
+    "sink_append": _q(_PERF, "SELECT * FROM monthly_performance UNION ALL SELECT * FROM monthly_performance"),
     "sink_partition_overwrite": _q(_PERF, "SELECT * FROM monthly_performance"),
 }

@@ -112,7 +112,7 @@ def test_clean_transactions_latest_per_order_by_day(spark):
 
 
 EXPECTED_CLEAN_SF0001 = {  # FIXTURES.md section 4
-    "customers": 143, "products": 198, "orders": 1483, "order_items": 4493, "transactions": 1037,
+    "customers": 148, "products": 198, "orders": 1483, "order_items": 4493, "transactions": 1470,
 }
 
 
@@ -130,8 +130,8 @@ def test_raw_fixture_counts(spark):
     from tillroll.sources import testdata
 
     raw_counts = {t: df.count() for t, df in testdata.raw_tables(spark, SF_SMALL).items()}
-    assert raw_counts == {"customers": 149, "products": 204, "orders": 1515, "order_items": 6000,
-                          "transactions": 1707}
+    assert raw_counts == {"customers": 154, "products": 204, "orders": 1515, "order_items": 6000,
+                          "transactions": 6000}
 
 
 def test_parsed_types_from_typed_input(spark):
@@ -163,11 +163,11 @@ def test_fixture_null_paths_at_sf0001(spark):
     dup = lambda df, k: df.groupBy(k).count().filter("count > 1").count()
     assert dup(raw["customers"].filter(F.col("customer_id").isNotNull()), "customer_id") == 4
     assert dup(raw["products"].filter(F.col("product_id").isNotNull()), "product_id") == 4
-    assert dup(raw["transactions"].filter(F.col("transaction_id").isNotNull()), "order_id") == 469
-    assert o.join(c["customers"], "customer_id", "left_anti").count() == 67
+    assert dup(raw["transactions"].filter(F.col("transaction_id").isNotNull()), "order_id") == 1362
+    assert o.join(c["customers"], "customer_id", "left_anti").count() == 65
     assert o.join(i, "order_id", "left_anti").count() == 34
-    assert o.join(t, "order_id", "left_anti").count() == 458
-    assert t.join(o, "order_id", "left_anti").count() == 12
+    assert o.join(t, "order_id", "left_anti").count() == 30
+    assert t.join(o, "order_id", "left_anti").count() == 17
     qualifying = raw["order_items"].filter(
         F.col("product_id").isNotNull() & (F.col("quantity") > 0) & (F.col("price_per_unit") > 0))
     assert qualifying.join(c["products"], "product_id", "left_anti").count() == 51  # before dedup

@@ -58,18 +58,53 @@ def _sub(fn, inputs: tuple[str, ...], **extra) -> Query:
     return q
 
 
-def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _shared_query(name: str) -> Query:
+    """A report as the batch job builds it: on the shared item roll-up,
+    materialised once."""
+    report = REPORTS[name]
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tillroll import pipeline
+        from tillroll.plans import DERIVED
+
+        clean = cleaned(spark, sf_dir, *report.inputs)
+        frames = {d: DERIVED[d].build(*[clean[t] for t in DERIVED[d].inputs]) for d in report.derived}
+        frames, _ = pipeline.share(spark, frames, dict.fromkeys(frames, 2), "checkpoint")
+        return report.transform(**clean, **frames, date=RUN_DATE)
+
+    q.__name__ = f"{name}_shared"
+    return q
+
+
+def _csv_roundtrip(spark: SparkSession, sf_dir: str, infer_schema: bool = False) -> DataFrame:
     """order_summary computed from the five raw tables written to CSV and
-    read back through the declared-schema CSV source."""
+    read back through the CSV source, as text or with inferred types."""
     from tillroll.session import scratch_path
     from tillroll.sources import csv
 
     base = scratch_path(spark, "csv-roundtrip")
     csv.write_raw_tables(testdata.raw_tables(spark, sf_dir), base)
-    clean = cleaning.clean_all(csv.read_raw_tables(spark, base))
+    clean = cleaning.clean_all(csv.read_raw_tables(spark, base, infer_schema=infer_schema))
     return REPORTS["order_summary"].transform(**clean, date=RUN_DATE)
 
 
+def _csv_roundtrip_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _csv_roundtrip(spark, sf_dir, infer_schema=True)
+
+
+def _sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """monthly_performance appended twice for the run date: both snapshots stay."""
+    from tillroll import schemas, sinks
+    from tillroll.session import scratch_path
+
+    base = scratch_path(spark, "sink-append")
+    clean = cleaned(spark, sf_dir, "orders", "transactions")
+    for _ in range(2):
+        sinks.write_report(r3.transform(**clean, date=RUN_DATE), base, "monthly_performance", mode="append")
+    return sinks.read_report(spark, base, "monthly_performance", schemas.REPORT["monthly_performance"],
+                             run_date=RUN_DATE)
+
+
 def _sink_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """monthly_performance written twice for the run date and once for
     another date through the partition-overwrite sink, read back for the
@@ -104,6 +139,11 @@ QUERIES: dict[str, Query] = {
     "cohort_sizes": _sub(r6.cohort_sizes, ("customers",)),
     "cohort_activity": _sub(r6.cohort_activity, ("orders", "customers")),
     "customer_retention": _report_query("customer_retention"),
+    "order_summary_shared": _shared_query("order_summary"),
+    "monthly_sales_shared": _shared_query("monthly_sales"),
+    "customer_profile_shared": _shared_query("customer_profile_summary"),
     "csv_roundtrip": _csv_roundtrip,
+    "csv_roundtrip_inferred": _csv_roundtrip_inferred,
+    "sink_append": _sink_append,
     "sink_partition_overwrite": _sink_partition_overwrite,
 }

@@ -41,10 +41,8 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
     k = F.col("c_custkey")
-    kept = k % 29 != 28
     main = (
-        c.filter(kept)
-        .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+        c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             F.concat(F.lit("C"), _s(k)).alias("customer_id"),
@@ -60,7 +58,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat("c_mktsegment", F.lit(" ")).alias("customer_segment"),
         )
     )
-    dups = c.filter((k % 40 == 7) & kept).select(
+    dups = c.filter(k % 40 == 7).select(
         F.concat(F.lit("C"), _s(k)),
         F.concat("c_name", F.lit(" (dup)")),
         F.concat("c_name", F.lit("@dup.example.com")),
@@ -112,8 +110,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     main = o.select(
         F.concat(F.lit("O"), _s(k)).alias("order_id"),
-        F.when(k % 503 == 502, _null(StringType())).otherwise(F.concat(F.lit("C"), _s("o_custkey")))
-        .alias("customer_id"),
+        # every 29th order is of a customer that no customer row has
+        F.when(k % 503 == 502, _null(StringType()))
+        .otherwise(F.concat(F.when(k % 29 == 28, "X").otherwise("C"), _s("o_custkey"))).alias("customer_id"),
         F.when(k % 401 == 400, _null(TimestampNTZType())).otherwise(F.col("o_orderdate").cast(TimestampNTZType()))
         .alias("order_date"),
         status.alias("order_status"),
@@ -150,7 +149,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
-    return li.filter(ln <= 2).select(
+    return li.select(
         F.when(ok % 307 == 306, _null(StringType()))
         .otherwise(F.concat(F.lit("T"), _s(ok), F.lit("-"), _s(ln), F.lit("-"), _s("l_partkey"), F.lit("-"),
                             _s("l_suppkey")))
