@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +35,14 @@ from tillroll.llm.common import arrow_task, extended, mix64, steps, utf8, withou
 SPACE = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words a worker remembers.
-CACHE = 250_000
+CACHE = 500_000
 #: Answers on pairs of pieces that a worker remembers, as a power of two.
 MEMORY_BITS = 20
 #: Longer words are cut further where no piece can span.
 CUT_OVER = 24
 _MUL = np.uint64(0xD6E8FEB86659FD93)
 _NONE = -1
-_WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+_LETTER = re.compile(r"[^\W\d_]")
 
 
 class Vocabulary:
@@ -163,8 +162,8 @@ class Vocabulary:
             live, a, b, until_a, until_b = live[on], a[on], b[on], until_a[on], until_b[on]
         return ok
 
-    def _advance(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Best paths of words of one length."""
+    def _advance(self, words: list[str]) -> list[bytes]:
+        """Best paths of words of one length, each as packed 32-bit ids."""
         n, size = len(words), len(words[0])
         code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size).astype(np.uint64) + np.uint64(1)
         best = np.full((n, size + 1), -np.inf)
@@ -206,23 +205,23 @@ class Vocabulary:
             ends.append(at)
             count += at > 0
             at = np.where(at > 0, at - length[row, at], 0)
-        path, ends = np.stack(path[::-1], axis=1), np.stack(ends[::-1], axis=1)
-        steps_ = path.shape[1]
-        out = []
-        for k, (ids, c) in enumerate(zip(path.tolist(), count.tolist())):
-            ids = ids[steps_ - c :]
-            if _NONE in ids:
-                stops = [0, *ends[k, steps_ - c :].tolist()]
-                ids = [x for i, lo, hi in zip(ids, stops, stops[1:]) for x in ([i] if i >= 0 else self._unknown(words[k][lo:hi]))]
-            out.append(tuple(ids))
+        path, ends = np.stack(path[::-1], axis=1).astype(np.int32), np.stack(ends[::-1], axis=1)
+        used = np.arange(path.shape[1]) >= path.shape[1] - count[:, None]
+        raw, stop = path[used].tobytes(), np.cumsum(count * 4).tolist()
+        out = [raw[lo:hi] for lo, hi in zip([0, *stop], stop)]
+        for k in np.flatnonzero((used & (path < 0)).any(axis=1)).tolist():
+            own, stops = path[k, used[k]].tolist(), [0, *ends[k, used[k]].tolist()]
+            ids = [x for i, lo, hi in zip(own, stops, stops[1:]) for x in ([i] if i >= 0 else self._unknown(words[k][lo:hi]))]
+            out[k] = np.array(ids, np.int32).tobytes()
         return out
 
     def _unknown(self, text: str) -> list[int]:
         raw = text.encode("utf-8", "surrogatepass")
         return [self.byte_ids[b] for b in raw] if len(self.byte_ids) == 256 else [self.unknown]
 
-    def encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Encodings of cut words, those of a length together, in blocks of bounded size."""
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Encodings of cut words, those of a length together, in blocks of bounded
+        size; packed 32-bit ids."""
         out: list = [None] * len(words)
         order = sorted(range(len(words)), key=lambda k: len(words[k]))
         i = 0
@@ -255,10 +254,25 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         #: words met lately, and those met before the last full ``recent``
-        self.recent: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
-        #: whether a space never follows another character within a piece, so that texts can be split before spaces
-        self.splits = not any(p[1] == SPACE and p[0] != SPACE for p in vocabulary.pairs_inside)
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.split = self._splitter(vocabulary.pairs_inside)
+
+    @staticmethod
+    def _splitter(pairs: set[str]) -> re.Pattern | None:
+        """Where texts can be split before any search, as no piece spans it: before
+        spaces, between a letter and a mark that follows none in a piece, and around
+        marks that are in no piece with others."""
+        if any(b == SPACE and a != SPACE for a, b in pairs):
+            return None
+        ascii_ = [chr(i) for i in range(128) if not chr(i).isalnum()]
+        alone = "".join(c for c in ascii_ if not any(c in p for p in pairs))
+        after_letter = {b for a, b in pairs if _LETTER.match(a)}
+        ends = "".join(c for c in ascii_ if c not in alone and c not in after_letter)
+        alone, ends = re.escape(alone), re.escape(ends)
+        one = rf"[{alone}]|" if alone else ""
+        more = rf"(?:[^{SPACE}{alone}{ends}]|(?<![^\W\d_])[{ends}])" if ends else rf"[^{SPACE}{alone}]"
+        return re.compile(rf"{one}{SPACE}*[^{SPACE}{alone}]{more}*|{SPACE}+")
 
     def words(self, text: str) -> list[str]:
         """A run of spaces belongs to the word after it."""
@@ -267,9 +281,9 @@ class Encoder:
         text = text.replace(" ", SPACE)
         if self.v.dummy_prefix:
             text = SPACE + text
-        return _WORDS.findall(text) if self.splits else [text]
+        return self.split.findall(text) if self.split else [text]
 
-    def _learn(self, words: set[str]) -> dict[str, tuple[int, ...]]:
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
         known, older = {}, self.older
         new = words - self.recent.keys()
         searched = []
@@ -282,7 +296,7 @@ class Encoder:
         distinct = list({*(w for w in searched if w not in parts), *(x for ws in parts.values() for x in ws)})
         found = dict(zip(distinct, self.v.encode_words(distinct)))
         for w in searched:
-            known[w] = tuple(i for x in parts[w] for i in found[x]) if w in parts else found[w]
+            known[w] = b"".join([found[x] for x in parts[w]]) if w in parts else found[w]
         if len(self.recent) + len(known) > CACHE:
             # what this batch needs stays, the rest may be forgotten with the next turn
             kept = {w: self.recent[w] for w in words - known.keys()}
@@ -294,11 +308,8 @@ class Encoder:
         """Piece ids of all texts in a row, and the n+1 offsets of the texts."""
         split = [self.words(t) for t in texts]
         table = self._learn({w for s in split for w in s})
-        got = [table[w] for s in split for w in s]
-        sizes = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter(chain.from_iterable(got), np.int32, int(sizes.sum()))
-        ends = np.append(0, np.cumsum(sizes))
-        return flat, ends[np.append(0, np.cumsum(np.fromiter(map(len, split), np.int64, len(split))))]
+        got = [b"".join([table[w] for w in s]) for s in split]
+        return np.frombuffer(b"".join(got), np.int32), np.append(0, np.cumsum([len(x) // 4 for x in got], dtype=np.int64))
 
     def decode_batch(self, flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """UTF-8 bytes of all texts in a row, and the n+1 offsets of the texts."""
