@@ -41,8 +41,9 @@ def test_ordinal_edges(llm, edge, empty):
     assert ordinal.score(edge.selectExpr("*", "1 as p_top"), model).columns == ["doc_id", "text", "expected_grade", "p_top"]
 
 
-def test_ordinal_query(llm):
-    got = QUERIES["op7_ordinal_quality"](llm, SF).toPandas().merge(graded_labels(llm, SF).toPandas(), on="doc_id")
+def test_ordinal_query_held_out(llm):
+    d = "/root/testdata/sf0.1"  # sf0.01 has 37 toxic texts to learn from
+    got = QUERIES["op7_ordinal_quality"](llm, d).toPandas().merge(graded_labels(llm, d).toPandas(), on="doc_id")
     known = got[~got["held_out"]].groupby("grade")["expected_grade"].mean()
     assert known[0] < known[1] < known[2]
     unseen = got[got["held_out"]].groupby("grade")["selected"].mean()

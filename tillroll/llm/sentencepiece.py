@@ -57,14 +57,15 @@ class Vocabulary:
         text = {pieces[i]: i for i in normal}
         self.ids = text
         self.longest = max(map(len, text), default=1)
-        hashes = np.array([self._hash(p) for p in text], np.uint64)
-        order = np.argsort(hashes)
-        self.sorted_hash, self.sorted_id = hashes[order], np.fromiter(text.values(), np.int64, len(text))[order]
+        self.ordered = True
         self.pairs_inside = {a + b for p in text for a, b in zip(p, p[1:])}
         self.bytes = [self._bytes(p, k) for p, k in zip(pieces, kinds)]
         self.memory_key, self.memory_ok = np.full(1 << MEMORY_BITS, -1), np.zeros(1 << MEMORY_BITS, bool)
         if not unigram:
-            self._merges()
+            text = self._merges()
+        hashes = np.array([self._hash(p) for p in text], np.uint64)
+        order = np.argsort(hashes)
+        self.sorted_hash, self.sorted_id = hashes[order], np.fromiter(text.values(), np.int64, len(text))[order]
         # decoding: the bytes of all pieces in a row
         self.byte_length = np.array([len(b) for b in self.bytes], np.int64)
         self.byte_start = np.cumsum(self.byte_length) - self.byte_length
@@ -85,9 +86,13 @@ class Vocabulary:
             return " ⁇ ".encode()
         return b"" if kind == "control" else piece.replace(SPACE, " ").encode()
 
-    def _merges(self) -> None:
+    def _merges(self) -> dict[str, int]:
         """For every piece the two that its last merge joins, and the sorted pairs
-        that merge: pairs are ranked by the joined piece's score, then from the left."""
+        that merge: pairs are ranked by the joined piece's score, then from the left.
+        Returns the pieces that merging can make at all.
+
+        The search needs pieces that score no better than their parts, as trained
+        models have; ``ordered`` tells, and words of others are merged plainly."""
         n = len(self.pieces)
         self.left, self.right = np.full(n, _NONE), np.full(n, _NONE)
         keys, joined = [], []
@@ -95,6 +100,9 @@ class Vocabulary:
             parts = self.merge_word(piece, whole=False)
             if len(parts) == 2:
                 self.left[i], self.right[i] = parts
+                # a part of one character is there from the start
+                if any(self.scores[i] > self.scores[p] for p in parts if p >= 0 and len(self.pieces[p]) > 1):
+                    self.ordered = False
             for k in range(1, len(piece)):
                 a, b = self.ids.get(piece[:k]), self.ids.get(piece[k:])
                 if a is not None and b is not None:
@@ -102,6 +110,7 @@ class Vocabulary:
                     joined.append(i)
         order = np.argsort(keys) if keys else np.zeros(0, np.int64)
         self.pair_key, self.pair_piece = np.array(keys, np.int64)[order], np.array(joined, np.int64)[order]
+        return {p: i for p, i in self.ids.items() if len(p) == 1 or self.left[i] != _NONE or self.right[i] != _NONE}
 
     def merge_word(self, word: str, whole: bool = True) -> list[int]:
         """Plain merging of one word; ``whole=False`` stops before all is one piece."""
@@ -215,6 +224,14 @@ class Vocabulary:
             out[k] = np.array(ids, np.int32).tobytes()
         return out
 
+    def _plain(self, word: str) -> bytes:
+        ids, at = [], 0
+        for i in self.merge_word(word):
+            size = len(self.pieces[i]) if i >= 0 else 1
+            ids.extend([i] if i >= 0 else self._unknown(word[at : at + size]))
+            at += size
+        return np.array(ids, np.int32).tobytes()
+
     def _unknown(self, text: str) -> list[int]:
         raw = text.encode("utf-8", "surrogatepass")
         return [self.byte_ids[b] for b in raw] if len(self.byte_ids) == 256 else [self.unknown]
@@ -222,6 +239,8 @@ class Vocabulary:
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Encodings of cut words, those of a length together, in blocks of bounded
         size; packed 32-bit ids."""
+        if not (self.unigram or self.ordered):
+            return [self._plain(w) for w in words]
         out: list = [None] * len(words)
         order = sorted(range(len(words)), key=lambda k: len(words[k]))
         i = 0
