@@ -31,7 +31,7 @@ from tillroll.llm.common import BYTE_CODE_LOWER, arrow_task, extended, prefix_ha
 
 BITS = 18
 #: Labelled rows that a fit may take.
-MOST = 20_000
+MOST = 12_000
 
 _kind = np.zeros(256, np.uint8)  # 0 space, 1 letter, 2 digit, then each mark for itself
 _kind[33:127] = np.arange(33, 127)
@@ -89,16 +89,18 @@ class Model:
 def fit(rated: DataFrame, most: int = MOST, bits: int = BITS, rounds: int = 120, decay: float = 5e-5) -> Model:
     """Fit on rows (doc_id, text, grade); full-batch Adam in numpy on the bounded sample."""
     sample = rated.where("grade is not null").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id", "grade").limit(most).select("text", "grade")
-    got = sample.mapInArrow(_extract(bits), "grade int, f array<int>").toPandas()
-    lists = got["f"].tolist()
-    grades = sorted(got["grade"].unique().tolist())
-    n, cuts = len(got), max(len(grades) - 1, 0)
+    got = sample.mapInArrow(_extract(bits), "grade int, f array<int>").toArrow().combine_chunks()
+    grade = got.column("grade").to_numpy()
+    grades = sorted(set(grade.tolist()))
+    n, cuts = len(grade), max(len(grades) - 1, 0)
     if not cuts:
         return Model(np.zeros(1 << bits), np.zeros(0), grades or [0])
-    y = np.searchsorted(grades, got["grade"].to_numpy())
-    row = np.repeat(np.arange(n), [len(x) for x in lists])
-    f = np.concatenate([np.asarray(x, np.int64) for x in lists])
-    scale = _scaled(row, n)[row]
+    y = np.searchsorted(grades, grade)
+    lists = got.column("f").combine_chunks()
+    row = np.repeat(np.arange(n, dtype=np.int32), np.asarray(lists.value_lengths()))
+    f = np.asarray(lists.flatten())
+    scale = _scaled(row, n)[row].astype(np.float32)
+    del got, lists
     share = np.bincount(y, minlength=cuts + 1) / n
     weight = (share**-0.5)[y]  # between equal rows and equal grades
     weight /= weight.sum()
