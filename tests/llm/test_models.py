@@ -125,3 +125,27 @@ def test_score_prefers_text_like_the_corpus(docs):
     model, rare = bloomlm.train(df.where("not held_out"))
     got = {r.doc_id: r.score for r in bloomlm.score(df, model, rare).collect()}
     assert got[100] > got[101] > got[102]
+
+
+def test_filter_grows_and_scores_follow_the_counts(docs, monkeypatch):
+    monkeypatch.setattr(bloomlm, "MOST_BITS", 1 << 16, raising=False)  # the size bound there once was
+    for name, value in (("SEGMENT_BYTES", 1 << 15), ("CHUNK_BYTES", 1 << 13), ("ASK_BYTES", 1 << 13), ("TABLE", 400)):
+        monkeypatch.setattr(bloomlm, name, value, raising=False)
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{k}" for k in rng.zipf(1.3, 60) % 20_000)) for i in range(900)] + [(900, None), (901, "")]
+    df = docs(rows).withColumn("held_out", bloomlm.held_out())
+    model, rare = bloomlm.train(df.where("not held_out"))
+    got = {r.doc_id: r.score for r in bloomlm.score(df, model, rare).collect()}
+    train = [words(t) for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    single, pair = Counter(w for t in train for w in t), Counter(p for t in train for p in zip(["", *t], t))
+    mid = lambda n: n if n < 2 else 1.5 * 2 ** math.floor(math.log2(n))
+    total = sum(single.values()) + len(single) + 1
+    near = 0
+    for i, t in rows:
+        want = 0.0
+        for b, w in zip(["", *words(t)], words(t)):
+            context = mid(single[b]) if b != "" else len(train)
+            p = min(mid(pair[b, w]), context, max(mid(single[w]), 1))
+            want += math.log10(min((p + bloomlm.PRIOR * (mid(single[w]) + 1) / total) / (context + bloomlm.PRIOR), 1.0))
+        near += abs(got[i] - want) <= 0.03 * abs(want)
+    assert len(got) == len(rows) and near > 0.9 * len(rows)
