@@ -47,6 +47,17 @@ def test_signature_agreement_is_weighted_jaccard():
     assert abs((sig[0] == sig[1]).mean() - exact) < 4 * np.sqrt(exact * (1 - exact) / 4096)
 
 
+def test_equal_multisets_get_equal_bands_whatever_shares_the_step():
+    rng = np.random.default_rng(4)
+    for size in (5, 40, 300):
+        element, weight = mix64(np.arange(size, dtype=np.uint64) + np.uint64(size)), rng.integers(1, 30, size)
+        alone = minhash.band_keys(minhash.bag_minhash(np.zeros(size, np.int64), element, weight, 1))
+        for others in (1, 300, 100_000):
+            row = np.append(np.zeros(size, np.int64), 1 + np.arange(others) // 100)
+            shared = minhash.bag_minhash(row, np.append(element, mix64(np.arange(others, dtype=np.uint64) << np.uint64(32))), np.append(weight, np.ones(others, np.int64)), row[-1] + 1)
+            assert (minhash.band_keys(shared)[0] == alone[0]).all()
+
+
 def test_jaccard_against_counters():
     rng = random.Random(2)
     texts = [" ".join(rng.choice("ab") for _ in range(rng.randint(0, 30))) for _ in range(300)]

@@ -90,14 +90,17 @@ def _arrivals(row: np.ndarray, element: np.ndarray, weight: np.ndarray, limit: n
     length = np.where(part == 0, 1, low)
     seed = mix64(element[which] + part.astype(np.uint64) * _MUL[40])
     top, doc = weight[which].astype(np.float64), row[which]
-    t, end = np.zeros(len(which)), limit[doc]
+    # gaps are whole numbers of 2**-40: their sums are exact, so a point's time depends
+    # on its element alone and not on the rows that share the step
+    t, end, unit = np.zeros(len(which), np.int64), limit[doc], positions * length * 2.0**40
     flat = sig.reshape(-1)
     drawn = 0
     while len(seed):
         k = max(1, 8192 // len(seed))
         s = seed[:, None] + np.arange(drawn + 1, drawn + k + 1, dtype=np.uint64) * _STEP
         u = (mix64(s) >> np.uint64(11)).astype(np.float64)
-        times = t[:, None] + np.cumsum(-np.log((u + 1) * 2.0**-53), axis=1) / (positions * length[:, None])
+        ticks = t[:, None] + np.cumsum(np.rint(-np.log((u + 1) * 2.0**-53) * 2.0**40).astype(np.int64), axis=1)
+        times = ticks / unit[:, None]
         i, j = np.nonzero(times < end[:, None])
         v = mix64(s[i, j] ^ _MUL[41])
         place = ((v >> np.uint64(32)) * np.uint64(positions)) >> np.uint64(32)
@@ -105,7 +108,7 @@ def _arrivals(row: np.ndarray, element: np.ndarray, weight: np.ndarray, limit: n
         np.minimum.at(flat, (doc[i] * positions + place.astype(np.int64))[inside], times[i, j][inside])
         drawn += k
         on = times[:, -1] < end
-        seed, t, end, length, low, top, doc = seed[on], times[on, -1], end[on], length[on], low[on], top[on], doc[on]
+        seed, t, end, unit, length, low, top, doc = seed[on], ticks[on, -1], end[on], unit[on], length[on], low[on], top[on], doc[on]
 
 
 def band_keys(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
