@@ -33,6 +33,20 @@ def test_recall_and_scores(docs, monkeypatch):
     assert got["query_id"].nunique() == 30 and hit / 300 >= 0.9
 
 
+def test_copies_give_their_smallest_ids(docs):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(2400, 8)).astype(np.float32)
+    x[rng.permutation(2400)[:1100]] = x[0]  # more than the part of a shard that is ranked again
+    ids = rng.permutation(2400)
+    df = docs([(int(i), v.tolist()) for i, v in zip(ids, x)], SCHEMA)
+    same = np.sort(ids[(x == x[0]).all(axis=1)])
+    asked = [int(same[0]), int(same[7]), int(same[-1])]
+    got = permutation.search(df, df.where(f"vec_id in ({asked[0]}, {asked[1]}, {asked[2]})")).toPandas()
+    for q, g in got.groupby("query_id"):
+        assert g.sort_values("rank")["vec_id"].tolist() == same[same != q][:10].tolist() and (g["score"] == 0).all()
+    assert got["query_id"].nunique() == 3
+
+
 def test_edges(docs):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [3.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (None, [1.0, 1.0]), (8, []), (100, [1.0, 2.0, 3.0])]

@@ -5,8 +5,10 @@ The index is a set of shards of bounded size, dealt by a hash of the id; a
 shard holds one inverted file for each pivot: the place of that pivot in the
 order of each of the shard's vectors.  A query ranks a shard's vectors by the
 footrule distance of the orders, summed file by file, and the best part of them
-(``rerank``) is ranked again by the exact Euclidean distance on the original
-vectors.  A shard returns its best; the best of all shards are the answer.
+(``rerank``), with all that tie with its last, is ranked again by the exact
+Euclidean distance on the original vectors.  A shard holds equal vectors once,
+with their ids in order, so copies crowd out nothing.  A shard returns its best;
+the best of all shards are the answer.
 
 Every row is indexed.  The pivots are a bounded sample: the ``PIVOTS`` vectors
 with the smallest id hashes.  The query set meets the shards in blocks.
@@ -54,43 +56,53 @@ def places(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(out.T)
 
 
-def _build(pivots: np.ndarray):
+def _build(pivots: np.ndarray, distinct: bool):
     def run(table: pa.Table) -> pa.Table:
         n = table.num_rows
         x = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-        files = np.concatenate([places(x[i : i + 256], pivots) for i in range(0, n, 256)], axis=1)
         ids = table.column("vec_id").to_numpy().astype(np.int64)
+        x, own = np.unique(x + 0.0, axis=0, return_inverse=True) if distinct else (x, np.arange(n))  # + 0.0: no negative zero
+        order = np.lexsort((ids, own.reshape(-1)))
+        copies, n = np.bincount(own.reshape(-1), minlength=len(x)).astype(np.int64), len(x)
+        files = np.concatenate([places(x[i : i + 256], pivots) for i in range(0, n, 256)], axis=1)
         return pa.table({
             "part": pa.array([table.column("part")[0].as_py()], pa.int32()),
-            "ids": [ids.tobytes()], "files": [files.tobytes()], "vectors": [np.ascontiguousarray(x).tobytes()],
+            "ids": [ids[order].tobytes()], "copies": [copies.tobytes()], "files": [files.tobytes()], "vectors": [np.ascontiguousarray(x).tobytes()],
         })
 
     return run
 
 
-def build(vectors: DataFrame, pivots: np.ndarray, parts: int) -> DataFrame:
-    """Shards of vectors (vec_id, v): ids, inverted files, vectors, each packed."""
+def build(vectors: DataFrame, pivots: np.ndarray, parts: int, distinct: bool = True) -> DataFrame:
+    """Shards of vectors (vec_id, v), each packed: inverted files and vectors, with
+    the number of ids of each, and the ids; equal vectors once if ``distinct``."""
     dealt = vectors.select(F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part"), F.col("vec_id").cast("long").alias("vec_id"), "v")
-    return dealt.groupBy("part").applyInArrow(_build(pivots), "part int, ids binary, files binary, vectors binary")
+    return dealt.groupBy("part").applyInArrow(_build(pivots, distinct), "part int, ids binary, copies binary, files binary, vectors binary")
 
 
-def _nearest(ids: np.ndarray, files: np.ndarray, x: np.ndarray, qids: np.ndarray, qfiles: np.ndarray, q: np.ndarray, k: int, rerank: float):
+def _nearest(ids: np.ndarray, copies: np.ndarray, files: np.ndarray, x: np.ndarray, qids: np.ndarray, qfiles: np.ndarray, q: np.ndarray, k: int, rerank: float):
     """Best k of a shard for each query: query numbers, ids, distances."""
-    n = len(ids)
-    c = min(n, max(RERANK_LEAST, int(np.ceil(n * rerank)), k + 1))
+    n, first, owner = len(copies), np.cumsum(copies) - copies, np.repeat(np.arange(len(copies)), copies)
+    c = min(n, max(RERANK_LEAST, int(np.ceil(len(ids) * rerank)), k + 1))
     which, found, distance = [], [], []
     for i in range(0, len(qids), _ROWS):
         total = np.zeros((len(qids[i : i + _ROWS]), n), np.int32)
         for own, posting in zip(qfiles[:, i : i + _ROWS].astype(np.int16), files):
             total += np.abs(own[:, None] - posting.astype(np.int16)[None, :])
-        best = np.argpartition(total, c - 1, axis=1)[:, :c] if c < n else np.broadcast_to(np.arange(n), total.shape)
-        for r, at in enumerate(best):
-            at = at[ids[at] != qids[i + r]]
-            d = np.sqrt(((x[at] - q[i + r]) ** 2).sum(axis=1))
-            top = np.lexsort((ids[at], d))[:k]
+        last = np.partition(total, c - 1, axis=1)[:, c - 1]
+        for r in range(len(total)):
+            qid, near = qids[i + r], np.flatnonzero(total[r] <= last[r])
+            # vectors that only the query's own id has are no candidates
+            near = near[copies[near] > np.bincount(owner[ids == qid], minlength=n)[near]]
+            d = np.sqrt(((x[near] - q[i + r]) ** 2).sum(axis=1))
+            on = d <= np.sort(d)[: k][-1:].max(initial=-1.0)
+            each = [own[own != qid][:k] for own in (ids[first[j] : first[j] + copies[j]] for j in near[on])]
+            at = np.concatenate([np.zeros(0, np.int64), *each])
+            far = np.repeat(d[on], [len(own) for own in each])
+            top = np.lexsort((at, far))[:k]
             which.append(np.full(len(top), i + r))
-            found.append(ids[at][top])
-            distance.append(d[top])
+            found.append(at[top])
+            distance.append(far[top])
     return np.concatenate(which), np.concatenate(found), np.concatenate(distance)
 
 
@@ -99,10 +111,10 @@ def _search(k: int, rerank: float, pivots: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids, qids = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["qids"], np.int64)
+                ids, copies, qids = (np.frombuffer(row[f], np.int64) for f in ("ids", "copies", "qids"))
                 files, qfiles = (np.frombuffer(row[f], np.uint8).reshape(pivots, -1) for f in ("files", "qfiles"))
-                x, q = np.frombuffer(row["vectors"]).reshape(len(ids), -1), np.frombuffer(row["qvectors"]).reshape(len(qids), -1)
-                which, found, distance = _nearest(ids, files, x, qids, qfiles, q, k, rerank)
+                x, q = np.frombuffer(row["vectors"]).reshape(len(copies), -1), np.frombuffer(row["qvectors"]).reshape(len(qids), -1)
+                which, found, distance = _nearest(ids, copies, files, x, qids, qfiles, q, k, rerank)
                 yield pa.RecordBatch.from_pydict({"query_id": pa.array(qids[which]), "vec_id": pa.array(found), "score": pa.array(distance)})
 
     return run
@@ -120,9 +132,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, pivots: int = PI
         points = np.array([r["v"] for r in sample])
         n_shards = -(-count // SHARD)
         shards = materialize(build(own, points, n_shards), "permutation-index")
-        blocks = build(mine, points, -(-mine.count() // BLOCK) or 1)
+        blocks = build(mine, points, -(-mine.count() // BLOCK) or 1, distinct=False)
         blocks = blocks.select(F.col("ids").alias("qids"), F.col("files").alias("qfiles"), F.col("vectors").alias("qvectors"), F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("part"))
-        found = shards.join(blocks, "part").select("ids", "files", "vectors", "qids", "qfiles", "qvectors").mapInArrow(
+        found = shards.join(blocks, "part").select("ids", "copies", "files", "vectors", "qids", "qfiles", "qvectors").mapInArrow(
             _search(k, rerank, len(points)), "query_id bigint, vec_id bigint, score double"
         )
         out = found if out is None else out.union(found)
