@@ -1,0 +1,113 @@
+"""The subsequence kernel against enumeration, and the classifier on held-out texts."""
+
+from __future__ import annotations
+
+import zlib
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tillroll.llm import toxicity
+from tillroll.llm.common import utf8
+from tillroll.llm.queries import QUERIES
+from llm_fixtures import docs, edge, empty, llm  # noqa: F401
+
+
+def weights(s: str) -> dict:
+    if len(s) < 3:
+        return {s[0] + s[-1]: 1.0} if s else {}
+    out: dict = {}
+    for i, j, k in combinations(range(len(s)), 3):
+        if k - i < toxicity.WIDTH:
+            out[s[i] + s[j] + s[k]] = out.get(s[i] + s[j] + s[k], 0) + toxicity.DECAY ** (k - i - 2)
+    norm = sum(x * x for x in out.values()) ** 0.5
+    return {u: x / norm for u, x in out.items()}
+
+
+def alike(s: str, t: str) -> float:
+    a, b = weights(s), weights(t)
+    return min(sum(x * b.get(u, 0) for u, x in a.items()), 1.0) ** toxicity.POWER
+
+
+def test_kernel_against_enumeration():
+    words = ["idiot", "idxiot", "iidiiot", "stupid", "aaaa", "ab", "a", "b", "abcabcabcabc", "disgusting"]
+    got = toxicity.kernel(*toxicity.spell(words), toxicity.Postings(words))
+    want = [[alike(s, t) for t in words] for s in words]
+    assert np.allclose(got, want, atol=1e-5)
+
+
+def strings(text: str) -> set:
+    s = toxicity.Strings(*utf8(pa.array([text])))
+    return set(s.texts())
+
+
+def test_strings():
+    assert strings("You IDIOT, i.d.i.o.t and s t u p i d; 1d10t!") == {"you", "idiot", "and", "stupid", "tupid", "stupi", "dt"}
+    assert strings("") == strings(" \n 12 ...") == set()
+    long = "abcdefghijklmnopqrstuvwx" * 3
+    assert strings(long) == {(long[k : k + 24]) for k in range(0, 60, 12)}
+    assert len(strings("straße STRASSE")) == 2
+    got = toxicity.Strings(*utf8(pa.array(["a b", None, "b a", "xyz abc xyz"])))
+    texts = got.texts()
+    assert [(int(r), texts[o]) for r, o in zip(got.row, got.own)] == [(0, "ab"), (0, "a"), (0, "b"), (2, "ba"), (2, "b"), (2, "a"), (3, "xyz"), (3, "abc"), (3, "xyz")]
+
+
+def test_likeness_is_that_of_the_most_similar_string():
+    landmarks = ["idiot", "scum"]
+    texts = ["an idxiot here", "scummy idiot", "", None, "no such thing " * 500 + "s c u m"]
+    got = toxicity.likeness(*utf8(pa.array(texts)), toxicity.Postings(landmarks))
+    want = [[max((alike(s, t) for s in strings(x or "")), default=0.0) for t in landmarks] for x in texts]
+    assert np.allclose(got, want, atol=1e-5)
+
+
+def test_machine_parts_the_rows():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(300, 4))
+    y = np.where(x[:, 0] - 2 * x[:, 1] > 0.3, 1.0, -1.0)
+    w = toxicity.machine(x, y, np.ones(300), decay=1e-3)
+    margin = x @ w[:-1] + w[-1]
+    assert (np.sign(margin) == y).mean() > 0.98
+    # at the minimum the gradient of the loss is zero
+    inside = y * margin < 1
+    a = np.hstack([x, np.ones((300, 1))])
+    assert np.allclose(a[inside].T @ (margin - y)[inside] + np.append(np.full(4, 1e-3), 1e-6) * w, 0, atol=1e-6)
+    slope, _ = toxicity.curve(margin, (y > 0).astype(float))
+    assert slope > 0
+
+
+def test_held_out_documents(llm):
+    d = "/root/testdata/sf0.1"
+    got = QUERIES["op12_subsequence_toxicity"](llm, d)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"]
+    got = got.join(llm.read.parquet(f"{d}/labels.parquet"), "doc_id", "left").toPandas()
+    assert len(got) == llm.read.parquet(f"{d}/documents.parquet").count()
+    assert (got["held_out"] == [zlib.crc32(str(i).encode()) % 3 == 1 for i in got["doc_id"]]).all()
+    assert got["score"].between(0, 1).all() and (got["predicted"] == (got["score"] >= 0.7)).all()
+    unseen = got[got["held_out"] & got["toxic"].notna()]
+    toxic, clean = unseen[unseen["toxic"] == 1]["score"], unseen[unseen["toxic"] == 0]["score"]
+    assert (toxic >= 0.7).mean() > 0.7 and (clean >= 0.7).mean() < 0.02
+    assert np.mean([(a > clean).mean() for a in toxic]) > 0.95  # area under the curve
+
+
+def test_gapped_insults(llm):
+    rng = np.random.default_rng(1)
+    clean = lambda: " ".join("".join(rng.choice(list("aeioulnrst"), size=rng.integers(3, 8))) for _ in range(rng.integers(5, 40)))
+    bad = ["idiot", "moron", "scum"]
+    rows = [(i, clean() + (f" {bad[i // 2 % 3]} " if i % 2 else " ") + clean(), i % 2) for i in range(400)]
+    model = toxicity.fit(llm.createDataFrame(rows, "doc_id long, text string, label int"))
+    asked = ["you i.d.i.o.t now", "such a m o r o n there", "s*c*u*m", "MORON!!", "a nice day", "the sun is out"]
+    got = {r.doc_id: r.predicted for r in toxicity.score(llm.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), model).collect()}
+    assert [got[i] for i in range(6)] == [1, 1, 1, 1, 0, 0]
+    loose = {r.doc_id: r.score for r in toxicity.score(llm.createDataFrame([(0, "what an idxiot"), (1, "what an easel")], "doc_id long, text string"), model).collect()}
+    assert loose[0] > loose[1]
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "a b c", 1)], [(1, "a", None), (2, "b", 0)], [(1, None, 1), (2, "", 0)]])
+def test_edges(llm, edge, empty, rows):
+    model = toxicity.fit(llm.createDataFrame(rows, "doc_id long, text string, label int"))
+    got = toxicity.score(edge.selectExpr("*", "'x' as score", "1 as landmark"), model)
+    assert got.columns == ["doc_id", "text", "landmark", "score", "predicted"]
+    assert len([r for r in got.collect() if 0 <= r.score <= 1]) == edge.count()
+    assert toxicity.score(empty, model).count() == 0

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bloomlm, digest, langid, minhash, mixing, ordinal, permutation, pii, sentencepiece, suffix
+from tillroll.llm import bloomlm, digest, langid, minhash, mixing, negatives, ordinal, permutation, phrases, pii, sentencepiece, suffix, toxicity
 from tillroll.llm.common import configure_python, materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +94,25 @@ def op10_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloomlm.score(docs, model, rare)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op12_subsequence_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~toxicity.held_out()).select("doc_id", F.col("toxic").alias("label"))
+    # the sample is drawn before the texts are joined
+    sample = labels.where("label in (0, 1)").orderBy(F.xxhash64("doc_id", F.lit(23)), "doc_id", "label").limit(toxicity.MOST)
+    model = toxicity.fit(docs.join(sample, "doc_id"))
+    return toxicity.score(docs.withColumn("held_out", toxicity.held_out()), model).drop("text")
+
+
+def op13_multi_index_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.valid(table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding"))
+    return negatives.mine(rows, rows.where("vec_id % 100 = 0"))
+
+
 _OPERATORS: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_systematic_mixing": op2_systematic_mixing,
@@ -105,9 +124,16 @@ _OPERATORS: dict[str, Query] = {
     "op8_quartile_digest": op8_quartile_digest,
     "op9_language_id": op9_language_id,
     "op10_bloom_lm": op10_bloom_lm,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_subsequence_toxicity": op12_subsequence_toxicity,
+    "op13_multi_index_negatives": op13_multi_index_negatives,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_systematic_mixing": mixing.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op2_systematic_mixing": mixing.ORACLE_SQL,
+    "op11_phrase_collocations": phrases.ORACLE_SQL,
+    "op13_multi_index_negatives": negatives.ORACLE_SQL,
+}
 
 
 def _shipped(fn: Query) -> Query:
