@@ -96,7 +96,8 @@ def test_gapped_insults(llm):
     clean = lambda: " ".join("".join(rng.choice(list("aeioulnrst"), size=rng.integers(3, 8))) for _ in range(rng.integers(5, 40)))
     bad = ["idiot", "moron", "scum"]
     rows = [(i, clean() + (f" {bad[i // 2 % 3]} " if i % 2 else " ") + clean(), i % 2) for i in range(400)]
-    model = toxicity.fit(llm.createDataFrame(rows, "doc_id long, text string, label int"))
+    labelled = llm.createDataFrame(rows, "doc_id long, text string, label int")
+    model = toxicity.fit(labelled.select("doc_id", "text"), labelled.select("doc_id", "label"))
     asked = ["you i.d.i.o.t now", "such a m o r o n there", "s*c*u*m", "MORON!!", "a nice day", "the sun is out"]
     got = {r.doc_id: r.predicted for r in toxicity.score(llm.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), model).collect()}
     assert [got[i] for i in range(6)] == [1, 1, 1, 1, 0, 0]
@@ -106,7 +107,8 @@ def test_gapped_insults(llm):
 
 @pytest.mark.parametrize("rows", [[], [(1, "a b c", 1)], [(1, "a", None), (2, "b", 0)], [(1, None, 1), (2, "", 0)]])
 def test_edges(llm, edge, empty, rows):
-    model = toxicity.fit(llm.createDataFrame(rows, "doc_id long, text string, label int"))
+    labelled = llm.createDataFrame(rows, "doc_id long, text string, label int")
+    model = toxicity.fit(labelled.select("doc_id", "text"), labelled.select("doc_id", "label"))
     got = toxicity.score(edge.selectExpr("*", "'x' as score", "1 as landmark"), model)
     assert got.columns == ["doc_id", "text", "landmark", "score", "predicted"]
     assert len([r for r in got.collect() if 0 <= r.score <= 1]) == edge.count()

@@ -101,9 +101,7 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_subsequence_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(~toxicity.held_out()).select("doc_id", F.col("toxic").alias("label"))
-    # the sample is drawn before the texts are joined
-    sample = labels.where("label in (0, 1)").orderBy(F.xxhash64("doc_id", F.lit(23)), "doc_id", "label").limit(toxicity.MOST)
-    model = toxicity.fit(docs.join(sample, "doc_id"))
+    model = toxicity.fit(docs, labels)
     return toxicity.score(docs.withColumn("held_out", toxicity.held_out()), model).drop("text")
 
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import _SPACE, arrow_task, extended, id_remainder, mix64, powers, steps, utf8, without
+from tillroll.llm.common import _SPACE, arrow_task, extended, id_remainder, materialize, mix64, powers, steps, utf8, without
 
 #: Labelled texts that a fit may take.
 MOST = 20_000
@@ -272,12 +272,14 @@ def curve(margin: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, f
     return float(w[0]), float(w[1])
 
 
-def fit(labelled: DataFrame, most: int = MOST, landmarks: int = TOXIC, others: int = OTHER) -> Model:
-    """Fit on rows (doc_id, text, label), label 0 or 1; null labels take no part."""
-    spark = labelled.sparkSession
-    order = (F.xxhash64("doc_id", F.lit(23)), "doc_id", "label")
-    sample = labelled.where("label in (0, 1)").select("doc_id", "text", F.col("label").cast("int").alias("label")).orderBy(*order).limit(most)
-    sample = sample.repartition(F.xxhash64("doc_id")).select("text", "label")
+def fit(docs: DataFrame, labels: DataFrame, most: int = MOST, landmarks: int = TOXIC, others: int = OTHER) -> Model:
+    """Fit on the texts of docs (doc_id, text) that labels (doc_id, label) rates 0 or
+    1; other labels take no part."""
+    spark = docs.sparkSession
+    known = labels.where("label in (0, 1)").select("doc_id", F.col("label").cast("int").alias("label"))
+    picked = known.orderBy(F.xxhash64("doc_id", F.lit(23)), "doc_id", "label").limit(most)
+    # ids and labels of at most ``most`` texts; the texts stay where they are
+    sample = materialize(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "label"), "toxicity-sample")
     n = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     share = 0.5 if not n1 + n0 else n1 / (n1 + n0)
