@@ -402,6 +402,59 @@ _PROFILE = [_CUSTOMER_ORDER_METRICS, _FAVORITE_CATEGORY, _LAST_ORDER, _CUSTOMER_
 _TXN = [_TXN_ENRICHED, _CUSTOMER_TXN_METRICS, _PREFERRED_PAYMENT, _CUSTOMER_TRANSACTIONS]
 _SUMMARY = [_ITEM_TOTALS, _TOP_CATEGORY, _ORDER_SUMMARY]
 
+
+
+def _position(report: str, order: str) -> str:
+    by = ", ".join(f"{c} ASC NULLS FIRST" for c in order.split())
+    return f"SELECT *, row_number() OVER (ORDER BY {by}) AS position FROM {report}"
+
+
+# Rows read by each cleaner, with the rule that drops them (in the cleaners' order) and the key.
+_LOSSES = """
+judged AS (
+SELECT 'customers' AS table_name, customer_id AS key,
+       CASE WHEN customer_id IS NULL OR email IS NULL THEN 'null_key' END AS reason FROM raw_customers
+UNION ALL SELECT 'products', product_id, CASE WHEN product_id IS NULL THEN 'null_key' END FROM raw_products
+UNION ALL SELECT 'orders', order_id, CASE WHEN order_id IS NULL OR customer_id IS NULL THEN 'null_key'
+       WHEN coalesce(lower(trim(order_status)), '') NOT IN ('completed', 'shipped', 'returned', 'cancelled') THEN 'bad_status' END
+FROM raw_orders
+UNION ALL SELECT 'order_items', order_item_id,
+       CASE WHEN order_item_id IS NULL OR order_id IS NULL OR product_id IS NULL THEN 'null_key'
+            WHEN (quantity IS NOT NULL AND TRY_CAST(trunc(TRY_CAST(quantity AS DOUBLE)) AS INTEGER) IS NULL)
+              OR (price_per_unit IS NOT NULL AND TRY_CAST(price_per_unit AS DOUBLE) IS NULL) THEN 'unparseable'
+            WHEN coalesce(quantity, 0) <= 0 OR coalesce(price_per_unit, 0) <= 0 THEN 'out_of_range' END
+FROM raw_order_items
+UNION ALL SELECT 'transactions', order_id, CASE WHEN transaction_id IS NULL OR order_id IS NULL THEN 'null_key' END
+FROM raw_transactions
+),
+losses AS (
+SELECT table_name, reason, count(*) AS n_rows FROM judged WHERE reason IS NOT NULL GROUP BY 1, 2
+UNION ALL SELECT table_name, 'kept', count(DISTINCT key) FROM judged WHERE reason IS NULL GROUP BY 1
+UNION ALL SELECT table_name, 'duplicate', count(*) - count(DISTINCT key) FROM judged WHERE reason IS NULL GROUP BY 1
+HAVING count(*) > count(DISTINCT key)
+)"""
+
+_REJECTS = """
+numbered AS (SELECT *, CAST(substr(product_id, 2) AS BIGINT) AS k FROM raw_products),
+lines AS (
+SELECT product_id, k % 13 = 5 AS is_short, k % 17 = 3 AS is_long,
+       concat(coalesce(product_id, ''), ',', coalesce(product_name, ''), ',', coalesce(category, '')) AS head,
+       concat(',', coalesce(sub_category, ''), ',', coalesce(brand, ''), ',', coalesce(unit_price, '')) AS tail FROM numbered
+),
+rejects AS (
+SELECT 'rejected' AS kind, CASE WHEN is_short THEN head ELSE concat(head, tail, ',extra') END AS record
+FROM lines WHERE is_short OR is_long
+UNION ALL SELECT DISTINCT 'kept', product_id FROM lines
+WHERE product_id IS NOT NULL AND NOT coalesce(is_short, false) AND NOT coalesce(is_long, false)
+)"""
+
+_RUN = """
+SELECT 'order_summary' AS report, 'succeeded' AS status, count(*) AS n_rows FROM order_summary
+UNION ALL SELECT 'monthly_performance', 'succeeded', count(*) FROM monthly_performance
+UNION ALL SELECT 'customer_transactions', 'succeeded', count(*) FROM customer_transactions
+UNION ALL SELECT 'customer_retention', 'failed', 0"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "clean_customers": _q([], "SELECT * FROM c_customers"),
     "clean_products": _q([], "SELECT * FROM c_products"),
@@ -433,4 +486,12 @@ ORACLE_SQL: dict[str, str] = {
     "customer_profile_shared": _q(_PROFILE, "SELECT * FROM customer_profile_summary"),
     "sink_append": _q(_PERF, "SELECT * FROM monthly_performance UNION ALL SELECT * FROM monthly_performance"),
     "sink_partition_overwrite": _q(_PERF, "SELECT * FROM monthly_performance"),
+    "monthly_sales_ordered": _q(_SALES, _position("monthly_sales", "year month region category")),
+    "monthly_performance_ordered": _q(_PERF, _position("monthly_performance", "year month")),
+    "customer_retention_ordered": _q([_COHORTS, _RETENTION], _position("customer_retention", "cohort_year cohort_month periods_since_cohort")),
+    "cleaning_losses": _q([_LOSSES], "SELECT * FROM losses"),
+    "csv_rejects": _q([_REJECTS], "SELECT * FROM rejects"),
+    "sink_report_as_of": _q(_PERF, "SELECT * REPLACE (DATE '2002-01-01' AS ingestion_date) FROM monthly_performance"),
+    "sink_report_latest": _q(_PERF, "SELECT * REPLACE (DATE '2002-03-01' AS ingestion_date) FROM monthly_performance"),
+    "sink_run_results": _q([*_SUMMARY, *_PERF, *_TXN], _RUN),
 }

@@ -46,8 +46,11 @@ def test_no_python_no_cartesian(plans, name):
 
 @pytest.mark.parametrize("name", PLAN_QUERIES)
 def test_single_partition_only_for_monthly_growth(plans, name):
+    # and the merge of a frequent-items sketch, which holds a bounded summary and no row
+    sketches = plans[name].count("partial_approx_top_k")
     n = plans[name].count("SinglePartition")
-    assert n == (1 if name == "monthly_performance" else 0), name
+    # and of a position, the sum over one count for each partition
+    assert n - sketches == (1 if name == "monthly_performance" or name.endswith("_ordered") else 0), name
 
 
 @pytest.mark.parametrize("name", ["clean_customers", "clean_products", "clean_orders", "clean_order_items",

@@ -120,6 +120,77 @@ def _sink_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
                              run_date=RUN_DATE)
 
 
+def _ordered_query(name: str) -> Query:
+    """A report with its display order as a column."""
+    report = REPORTS[name]
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return report.positioned(report.transform(**cleaned(spark, sf_dir, *report.inputs), date=RUN_DATE))
+
+    q.__name__ = f"{name}_ordered"
+    return q
+
+
+def _cleaning_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that each cleaner reads and drops, by reason."""
+    return cleaning.losses(testdata.raw_tables(spark, sf_dir))
+
+
+def _csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The products as CSV lines, some cut after three fields and some with a field
+    too many: the rejected records, and the ids that the cleaner keeps of the rest."""
+    from pyspark.sql import functions as F
+
+    from tillroll.schemas import RAW_COLUMNS
+    from tillroll.session import scratch_path
+    from tillroll.sources import csv
+
+    base, columns = scratch_path(spark, "csv-rejects"), RAW_COLUMNS["products"]
+    k = F.substring("product_id", 2, 18).cast("long")
+    text = [F.coalesce(F.col(c), F.lit("")) for c in columns]
+    line = F.when(k % 13 == 5, F.concat_ws(",", *text[:3])).when(k % 17 == 3, F.concat_ws(",", *text, F.lit("extra"))).otherwise(F.concat_ws(",", *text))
+    lines = testdata.raw_products(spark, sf_dir).select(line.alias(",".join(columns)))
+    # one column under another separator: lines are written as they stand
+    lines.write.option("header", "true").option("sep", "\u0001").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(base)
+    good, bad = csv.read_raw_csv_checked(spark, base, "products")
+    kept = cleaning.clean_products(good).select(F.lit("kept").alias("kind"), F.col("product_id").alias("record"))
+    return bad.select(F.lit("rejected").alias("kind"), "record").union(kept)
+
+
+def _snapshot_query(as_of: str | None) -> Query:
+    """monthly_performance kept for three run dates, read as of one, or the latest."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tillroll import schemas, sinks
+        from tillroll.session import scratch_path
+
+        base = scratch_path(spark, "snapshots")
+        clean = cleaned(spark, sf_dir, "orders", "transactions")
+        for date in (RUN_DATE, "20020101", "20020301"):
+            sinks.write_report(r3.transform(**clean, date=date), base, "monthly_performance")
+        return sinks.read_snapshot(spark, base, "monthly_performance", schemas.REPORT["monthly_performance"], as_of)
+
+    q.__name__ = "report_as_of" if as_of else "report_latest"
+    return q
+
+
+def _run_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job through the sink with one report that fails: status and rows read back of each."""
+    from tillroll import pipeline, sinks
+    from tillroll.session import scratch_path
+
+    base = scratch_path(spark, "run-results")
+
+    def sink(df: DataFrame, name: str) -> None:
+        if name == "customer_retention":
+            raise RuntimeError("planted: this report fails")
+        sinks.write_report(df, base, name)
+
+    reports = ("order_summary", "monthly_performance", "customer_transactions", "customer_retention")
+    cfg = pipeline.JobConfig(output_base=base, sf_dir=sf_dir, run_date=RUN_DATE, reports=reports)
+    return pipeline.run_results(spark, cfg, sink)
+
+
 QUERIES: dict[str, Query] = {
     **{f"clean_{t}": _clean_query(t) for t in cleaning.CLEANERS},
     "order_item_totals": _sub(r1.order_item_totals, ("order_items",)),
@@ -146,4 +217,12 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip_inferred": _csv_roundtrip_inferred,
     "sink_append": _sink_append,
     "sink_partition_overwrite": _sink_partition_overwrite,
+    "monthly_sales_ordered": _ordered_query("monthly_sales"),
+    "monthly_performance_ordered": _ordered_query("monthly_performance"),
+    "customer_retention_ordered": _ordered_query("customer_retention"),
+    "cleaning_losses": _cleaning_losses,
+    "csv_rejects": _csv_rejects,
+    "sink_report_as_of": _snapshot_query("20020215"),
+    "sink_report_latest": _snapshot_query(None),
+    "sink_run_results": _run_results,
 }

@@ -26,18 +26,19 @@ import argparse
 import datetime as dt
 import logging
 import sys
+import threading
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from tillroll import sinks
+from tillroll import schemas, sinks
 from tillroll.functions import parse_run_date
 from tillroll.plans import DERIVED, REPORTS
-from tillroll.plans.cleaning import clean_all
+from tillroll.plans.cleaning import clean_all, loss_counts
 from tillroll.session import checkpoint_root, configure, remove_path, scratch_path
 from tillroll.sources import csv as csv_source
 from tillroll.sources import testdata
@@ -131,12 +132,42 @@ def needed_tables(reports) -> list[str]:
     return seen
 
 
-def load_clean(spark: SparkSession, cfg: JobConfig, tables) -> dict[str, DataFrame]:
+def load_raw(spark: SparkSession, cfg: JobConfig, tables) -> dict[str, DataFrame]:
     if cfg.input_base is not None:
-        raw = csv_source.read_raw_tables(spark, cfg.input_base, tables, cfg.infer_schema)
-    else:
-        raw = testdata.raw_tables(spark, cfg.sf_dir, tables)
-    return clean_all(raw)
+        return csv_source.read_raw_tables(spark, cfg.input_base, tables, cfg.infer_schema)
+    return testdata.raw_tables(spark, cfg.sf_dir, tables)
+
+
+def load_clean(spark: SparkSession, cfg: JobConfig, tables) -> dict[str, DataFrame]:
+    return clean_all(load_raw(spark, cfg, tables))
+
+
+def observe_losses(raw: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, Observation]]:
+    """The raw tables with counts of the rows that cleaning drops, taken while the job
+    reads them (no pass of its own), and where the counts arrive."""
+    seen = {t: Observation(f"cleaning of {t}") for t in raw}
+    return {t: df.observe(seen[t], *loss_counts(df, t)) for t, df in raw.items()}, seen
+
+
+def log_losses(seen: dict[str, Observation], wait: float = 10.0) -> dict[str, dict[str, int]]:
+    """Log the counts that have arrived.  A table that no finished report has read has none;
+    it is waited for shortly and left out."""
+    counts: dict[str, dict[str, int]] = {}
+
+    def arrive(table: str) -> None:
+        counts[table] = seen[table].get
+
+    # daemons: a count that never arrives must not hold the process
+    arriving = {t: threading.Thread(target=arrive, args=(t,), daemon=True) for t in seen}
+    for thread in arriving.values():
+        thread.start()
+    for t, thread in arriving.items():
+        thread.join(wait)
+        if t in counts:
+            log.info("cleaning %s: %s", t, ", ".join(f"{k} {v}" for k, v in counts[t].items()))
+        else:
+            log.info("cleaning %s: not counted", t)
+    return counts
 
 
 def share(spark: SparkSession, frames: dict[str, DataFrame], uses: dict[str, int], how: str,
@@ -244,7 +275,9 @@ def run(spark: SparkSession, cfg: JobConfig, sink=None, raw: dict[str, DataFrame
     cfg.validate(require_input=raw is None)
     configure(spark)
     needed = needed_tables(cfg.reports)
-    tables = load_clean(spark, cfg, needed) if raw is None else clean_all({t: raw[t] for t in needed})
+    raw = load_raw(spark, cfg, needed) if raw is None else {t: raw[t] for t in needed}
+    watched, losses = observe_losses(raw)
+    tables = clean_all(watched)
     d_uses = derived_uses(cfg.reports)
     # intermediates read by several reports are built once from the shared inputs
     derived = [d for d, n in d_uses.items() if n >= 2 and cfg.materialize != "none"]
@@ -270,6 +303,8 @@ def run(spark: SparkSession, cfg: JobConfig, sink=None, raw: dict[str, DataFrame
         else:
             results.update({name: run_report(name, frames, cfg, sink) for name in todo})
         results = {n: results[n] for n in cfg.reports}
+        if any(results.values()):
+            log_losses(losses)
     finally:
         for release in reversed(releases):
             release()
@@ -279,6 +314,28 @@ def run(spark: SparkSession, cfg: JobConfig, sink=None, raw: dict[str, DataFrame
     return results
 
 
+def run_results(spark: SparkSession, cfg: JobConfig, sink=None) -> DataFrame:
+    """Run the job and return it as rows: (report, status, n_rows).
+
+    ``status`` is ``succeeded`` or ``failed``; ``n_rows`` counts the run date's
+    partition as read back from the sink, 0 for a report that left none."""
+    from pyspark.sql import functions as F
+
+    done = run(spark, cfg, sink)
+    out = spark.createDataFrame([(n, "succeeded" if ok else "failed") for n, ok in done.items()], "report string, status string")
+    counts = None
+    for name, ok in done.items():
+        path = spark._jvm.org.apache.hadoop.fs.Path(sinks.table_path(cfg.output_base, name))
+        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            continue
+        back = sinks.read_report(spark, cfg.output_base, name, schemas.REPORT[name], cfg.run_date, cfg.output_format)
+        rows = back.groupBy(F.lit(name).alias("report")).agg(F.count(F.lit(1)).alias("n_rows"))
+        counts = rows if counts is None else counts.union(rows)
+    if counts is None:
+        return out.withColumn("n_rows", F.lit(0).cast("long"))
+    return out.join(counts, "report", "left").select("report", "status", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
 def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(level=logging.INFO, stream=sys.stdout, format="%(asctime)s %(levelname)s %(message)s")
     logging.getLogger("py4j").setLevel(logging.WARNING)

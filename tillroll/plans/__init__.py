@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.operators import with_position
 from tillroll.plans import (
     customer_profile,
     customer_retention,
@@ -56,6 +57,13 @@ class Report:
             return df
         return df.orderBy(*[F.col(c).asc_nulls_first() for c in self.order_by])
 
+    def positioned(self, df: DataFrame) -> DataFrame:
+        """The display order as a column, which a table write keeps: ``position``
+        from 1.  Every report with a display order is unique on it."""
+        if not self.order_by:
+            raise ValueError(f"{self.name} has no display order")
+        return with_position(df, [F.col(c).asc_nulls_first() for c in self.order_by])
+
 
 REPORTS: dict[str, Report] = {
     r.name: r

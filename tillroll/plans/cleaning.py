@@ -14,7 +14,7 @@ for their joins on ``order_id``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import clean_code, clean_text, to_day, to_double, to_int
@@ -103,6 +103,68 @@ def clean_transactions(df: DataFrame) -> DataFrame:
     )
 
 
+# Key columns that must not be NULL, and the key that rows are de-duplicated on.
+REQUIRED = {
+    "customers": ["customer_id", "email"],
+    "products": ["product_id"],
+    "orders": ["order_id", "customer_id"],
+    "order_items": ["order_item_id", "order_id", "product_id"],
+    "transactions": ["transaction_id", "order_id"],
+}
+UNIQUE = {"customers": "customer_id", "products": "product_id", "orders": "order_id", "order_items": "order_item_id", "transactions": "order_id"}
+#: Why a cleaner drops a row, in the order in which the rules are tried.
+REASONS = ("null_key", "bad_status", "unparseable", "out_of_range")
+
+
+def _null_key(df: DataFrame, table: str) -> Column:
+    out = F.lit(False)
+    for c in REQUIRED[table]:
+        out = out | F.col(c).isNull()
+        if dict(df.dtypes)[c] in ("float", "double"):
+            out = out | F.isnan(F.col(c))
+    return out
+
+
+def drop_reason(df: DataFrame, table: str) -> Column:
+    """Why the cleaner drops a raw row of ``table`` before de-duplication; NULL if it stays.
+
+    ``unparseable``: a quantity or price that is there but is no number in range;
+    ``out_of_range``: missing, zero or negative."""
+    why = F.when(_null_key(df, table), "null_key")
+    if table == "orders":
+        status = clean_code("order_status")
+        why = why.when(status.isNull() | ~status.isin(VALID_ORDER_STATUSES), "bad_status")
+    if table == "order_items":
+        quantity, price = to_int("quantity"), to_double("price_per_unit")
+        why = why.when((F.col("quantity").isNotNull() & quantity.isNull()) | (F.col("price_per_unit").isNotNull() & price.isNull()), "unparseable")
+        why = why.when(quantity.isNull() | price.isNull() | (quantity <= 0) | (price <= 0), "out_of_range")
+    return why
+
+
+def loss_counts(df: DataFrame, table: str) -> list[Column]:
+    """Aggregates over raw rows, for ``Dataset.observe``: rows read, and dropped by reason."""
+    why = drop_reason(df, table)
+    return [F.count(F.lit(1)).alias("read"), *[F.count_if(why == r).alias(r) for r in REASONS]]
+
+
+def losses(raw: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, reason, n_rows): rows that each cleaner reads and drops by reason,
+    ``duplicate`` for those that share a kept row's key, and rows ``kept``.
+    Reasons that no row has are left out; the others add up to the rows read.
+
+    One scan and one partial aggregate by reason for each table; duplicates are counted by key."""
+    out = None
+    for table, df in raw.items():
+        reasons = df.select(drop_reason(df, table).alias("reason"), F.col(UNIQUE[table]).cast("string").alias("key"))
+        dropped = reasons.where("reason is not null").groupBy("reason").agg(F.count("*").alias("n_rows"))
+        keys = reasons.where("reason is null").groupBy("key").agg(F.count("*").alias("n"))
+        kept = keys.select(F.explode(F.array(F.struct(F.lit("kept").alias("reason"), F.lit(1).cast("long").alias("n")), F.struct(F.lit("duplicate").alias("reason"), (F.col("n") - 1).alias("n")))).alias("x"))
+        kept = kept.groupBy("x.reason").agg(F.sum("x.n").alias("n_rows")).where("n_rows > 0")
+        rows = dropped.union(kept).select(F.lit(table).alias("table_name"), "reason", "n_rows")
+        out = rows if out is None else out.union(rows)
+    return out
+
+
 CLEANERS = {
     "customers": clean_customers,
     "products": clean_products,

@@ -19,7 +19,8 @@ map-side partial aggregation:
 3. -> (year, month, region, category): sums, and a plain count of
    customers (unique after level 2, each with one region).
 
-A hot order, customer or group is absorbed by the partial aggregates.
+A hot customer or group is absorbed by the partial aggregates, a hot order by
+the two stages of level 1.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import money_round, money_total, ratio2, round2, run_date_lit
-from tillroll.operators import salted_left_join
+from tillroll.operators import salted_join, salted_left_join
 from tillroll.plans.order_lines import lines_or_build
 
 GROUP = ["year", "month", "region", "category"]
@@ -55,7 +56,8 @@ def sales_lines(orders, customers, order_items, products, transactions) -> DataF
     per-line revenue rounded to cents."""
     q = qualifying_orders(orders, customers, transactions)
     return (
-        order_items.join(q, "order_id", "inner")
+        # an order's lines may be most of the table: heavy orders are split
+        order_items.transform(salted_join, q, "order_id", "order_item_id", "inner")
         .transform(salted_left_join, products.select("product_id", "category", "sub_category"), "product_id", "order_item_id")
         .select(
             "order_item_id", "order_id", "customer_id", "product_id", "category", "sub_category", "region",

@@ -61,3 +61,25 @@ def read_report(spark: SparkSession, base: str, table: str, schema: StructType |
 
         df = df.filter(F.col(PARTITION_COLUMN) == run_date_lit(run_date))
     return df
+
+
+def read_snapshot(spark: SparkSession, base: str, table: str, schema: StructType | None = None, as_of=None,
+                  fmt: str = "parquet") -> DataFrame:
+    """The snapshot of a report table as of a run date: that of the latest date
+    written up to ``as_of`` (without one, the latest of all); no rows if there is none.
+
+    The date comes from a subquery over the partition column alone, which reads no
+    data column; the scan then prunes its partitions by it at run time, so one
+    partition is read however many days are kept."""
+    from tillroll.functions import run_date_lit
+
+    df = read_report(spark, base, table, schema, fmt=fmt)
+    dates = df.select(PARTITION_COLUMN)
+    if as_of is not None:
+        dates = dates.where(F.col(PARTITION_COLUMN) <= run_date_lit(as_of))
+    return df.where(F.col(PARTITION_COLUMN) == dates.agg(F.max(PARTITION_COLUMN)).scalar())
+
+
+def snapshots(spark: SparkSession, base: str, table: str, fmt: str = "parquet") -> DataFrame:
+    """(ingestion_date, n_rows) of every snapshot that is kept."""
+    return spark.read.format(fmt).load(table_path(base, table)).groupBy(PARTITION_COLUMN).agg(F.count(F.lit(1)).alias("n_rows"))

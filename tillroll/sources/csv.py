@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillroll.schemas import RAW_COLUMNS, TABLES
 
@@ -48,6 +48,33 @@ def read_raw_csv(spark: SparkSession, path: str, table: str, infer_schema: bool
     return df.select(*RAW_COLUMNS[table])
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_raw_csv_checked(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
+    """One raw table as text, and its rejects: (table_name, record) of the records
+    whose number of fields is not that of the header, each as it stands in the file.
+
+    ``read_raw_csv`` pads short records with NULL and cuts long ones; here they are
+    out of the table.  Both sides are one parse with Spark's corrupt-record column;
+    a record is a line, so a file stays splittable."""
+    reader = spark.read.options(**_IO_OPTIONS).option("mode", "PERMISSIVE")
+    found = reader.option("inferSchema", "false").csv(path)
+    missing = [c for c in RAW_COLUMNS[table] if c not in found.columns]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}")
+    schema = StructType([*found.schema.fields, StructField(CORRUPT, StringType())])
+    checked = reader.option("enforceSchema", "false").option("columnNameOfCorruptRecord", CORRUPT)
+    names = [F.col(f"`{c}`") for c in found.columns]
+    # always true, but it reads every column: a record is held against the columns that
+    # a query reads, so one that reads fewer would let short and long records pass
+    whole = F.length(F.concat_ws("", *names)) >= 0
+    parsed = checked.schema(schema).csv(path).where(whole)
+    good = parsed.where(F.col(CORRUPT).isNull()).select(*RAW_COLUMNS[table])
+    bad = parsed.where(F.col(CORRUPT).isNotNull()).select(F.lit(table).alias("table_name"), F.col(CORRUPT).alias("record"))
+    return good, bad
+
+
 def read_raw_tables(spark: SparkSession, base: str, names=None, infer_schema: bool = False,
                     suffix: str = ".csv") -> dict[str, DataFrame]:
     names = TABLES if names is None else tuple(names)
