@@ -31,7 +31,7 @@ from tillroll.llm.common import BYTE_CODE_LOWER, arrow_task, extended, prefix_ha
 
 BITS = 18
 #: Labelled rows that a fit may take.
-MOST = 12_000
+MOST = 20_000
 
 _kind = np.zeros(256, np.uint8)  # 0 space, 1 letter, 2 digit, then each mark for itself
 _kind[33:127] = np.arange(33, 127)
@@ -72,7 +72,8 @@ def _extract(bits: int):
             for i, j in steps(offsets):
                 row, f = features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], bits)
                 ends = np.append(0, np.cumsum(np.bincount(row, minlength=j - i))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column("grade")[i:j].cast(pa.int32()), pa.ListArray.from_arrays(ends, pa.array(f.astype(np.int32)))], names=["grade", "f"])
+                lists = pa.ListArray.from_arrays(ends, pa.array(f.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column("place")[i:j], batch.column("grade")[i:j].cast(pa.int32()), lists], names=["place", "grade", "f"])
 
     return run
 
@@ -88,8 +89,11 @@ class Model:
 
 def fit(rated: DataFrame, most: int = MOST, bits: int = BITS, rounds: int = 120, decay: float = 5e-5) -> Model:
     """Fit on rows (doc_id, text, grade); full-batch Adam in numpy on the bounded sample."""
-    sample = rated.where("grade is not null").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id", "grade").limit(most).select("text", "grade")
-    got = sample.mapInArrow(_extract(bits), "grade int, f array<int>").toArrow().combine_chunks()
+    known = rated.where("grade is not null").select(F.struct(F.xxhash64("doc_id", F.lit(7)).alias("h"), "doc_id", "grade").alias("place"), "text", "grade")
+    place = known.schema["place"].dataType.simpleString()
+    # features first: no task gathers the texts
+    features_ = known.mapInArrow(_extract(bits), f"place {place}, grade int, f array<int>")
+    got = features_.orderBy("place").limit(most).select("grade", "f").toArrow().combine_chunks()
     grade = got.column("grade").to_numpy()
     grades = sorted(set(grade.tolist()))
     n, cuts = len(grade), max(len(grades) - 1, 0)

@@ -73,7 +73,8 @@ def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     grades = graded_labels(spark, sf_dir).where(~langid.held_out())
     # the sample is drawn before the texts are joined
     sample = grades.where("grade is not null").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id", "grade").limit(ordinal.MOST)
-    model = ordinal.fit(docs.join(sample, "doc_id"))
+    # ids and grades of at most MOST documents; the texts stay where they are
+    model = ordinal.fit(docs.join(F.broadcast(sample), "doc_id"))
     scored = ordinal.score(docs.withColumn("held_out", langid.held_out()), model).drop("text")
     return scored.withColumn("selected", F.col("p_top") >= 0.5)
 
