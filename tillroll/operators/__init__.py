@@ -90,7 +90,8 @@ def heavy_keys(facts: DataFrame, key: str, parts: int, share: int = HEAVY_SHARE)
     return top.select(F.map_from_entries(F.transform(heavy, lambda e: F.struct(e["item"], salts(e))))).scalar()
 
 
-def salted_join(facts: DataFrame, dimension: DataFrame, key: str, spread_by: str, how: str = "left", keep_salt: bool = False) -> DataFrame:
+def salted_join(facts: DataFrame, dimension: DataFrame, key: str, spread_by: str, how: str = "left", keep_salt: bool = False,
+                sketched: DataFrame | None = None) -> DataFrame:
     """``facts`` joined to ``dimension`` (one row for each ``key``); no key meets one task.
 
     Where Spark broadcasts the dimension, nothing is salted.  Else the keys that a sketch of
@@ -103,6 +104,8 @@ def salted_join(facts: DataFrame, dimension: DataFrame, key: str, spread_by: str
     not help here: the dimension comes out of its de-duplication without an
     exchange of its own.
 
+    ``sketched`` is a table that holds the facts' keys in like shares and is
+    cheaper to read than facts that come out of other joins.
     ``keep_salt`` keeps the salt column where there is one: the output is then
     partitioned on (key, salt)."""
     if how not in ("left", "inner"):
@@ -112,7 +115,7 @@ def salted_join(facts: DataFrame, dimension: DataFrame, key: str, spread_by: str
     spark = facts.sparkSession
     initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
     parts = SALTS * int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
-    heavy = heavy_keys(facts, key, parts)
+    heavy = heavy_keys((facts if sketched is None else sketched).select(key), key, parts)
     salts = F.when(F.col(key).isNull(), F.lit(parts)).otherwise(F.coalesce(F.try_element_at(heavy, F.col(key)), F.lit(1)))
     salted = facts.withColumn(_SALT, F.when(salts > 1, F.pmod(F.xxhash64(spread_by), salts).cast("int")).otherwise(F.lit(0)))
     copies = dimension.where(F.col(key).isNotNull()).withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.try_element_at(heavy, F.col(key)), F.lit(1)) - 1)))
@@ -120,9 +123,9 @@ def salted_join(facts: DataFrame, dimension: DataFrame, key: str, spread_by: str
     return joined if keep_salt else joined.drop(_SALT)
 
 
-def salted_left_join(facts: DataFrame, dimension: DataFrame, key: str, spread_by: str) -> DataFrame:
+def salted_left_join(facts: DataFrame, dimension: DataFrame, key: str, spread_by: str, sketched: DataFrame | None = None) -> DataFrame:
     """``salted_join`` that keeps every fact row."""
-    return salted_join(facts, dimension, key, spread_by)
+    return salted_join(facts, dimension, key, spread_by, sketched=sketched)
 
 
 def count_where(pred: Column) -> Column:

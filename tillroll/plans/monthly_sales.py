@@ -43,7 +43,7 @@ def qualifying_orders(orders: DataFrame, customers: DataFrame, transactions: Dat
         orders.filter(F.col("order_status") == "completed")
         .select("order_id", "customer_id", "order_date")
         .join(ok_txn, "order_id", "left_semi")
-        .transform(salted_left_join, customers.select("customer_id", "region"), "customer_id", "order_id")
+        .transform(salted_left_join, customers.select("customer_id", "region"), "customer_id", "order_id", orders)
         .select(
             "order_id", "customer_id", "order_date",
             F.year("order_date").alias("year"), F.month("order_date").alias("month"), "region",
@@ -58,7 +58,7 @@ def sales_lines(orders, customers, order_items, products, transactions) -> DataF
     return (
         # an order's lines may be most of the table: heavy orders are split
         order_items.transform(salted_join, q, "order_id", "order_item_id", "inner")
-        .transform(salted_left_join, products.select("product_id", "category", "sub_category"), "product_id", "order_item_id")
+        .transform(salted_left_join, products.select("product_id", "category", "sub_category"), "product_id", "order_item_id", order_items)
         .select(
             "order_item_id", "order_id", "customer_id", "product_id", "category", "sub_category", "region",
             "order_date", "year", "month", "quantity", "price_per_unit",

@@ -69,7 +69,7 @@ def transform(orders, customers, order_items, products, transactions, date,
     )
     items = order_item_summary(order_items, products, order_category_lines)
     per_order = orders.join(items, "order_id", "left").join(txn, "order_id", "left")
-    enriched = salted_left_join(per_order, customers.select("customer_id", *CUSTOMER_ATTRS), "customer_id", "order_id")
+    enriched = salted_left_join(per_order, customers.select("customer_id", *CUSTOMER_ATTRS), "customer_id", "order_id", orders)
     total, discount = F.col("total_amount"), F.col("discount_amount")
     return enriched.select(
         "order_id", "customer_id", *CUSTOMER_ATTRS,
