@@ -102,10 +102,8 @@ def last_order(orders: DataFrame) -> DataFrame:
     )
 
 
-def transform(orders, customers, order_items, products, date, transactions=None,
+def transform(orders, customers, order_items, products, date,
               order_category_lines: DataFrame | None = None) -> DataFrame:
-    # ``transactions`` is accepted for interface parity; its status column is
-    # never used by this report, so it is not joined.
     # The last order (R4c) is one more aggregate of the per-customer roll-up
     # (one shuffle of the orders by customer, not two).
     return (

@@ -66,8 +66,6 @@ def with_growth(kpis: DataFrame) -> DataFrame:
     )
 
 
-def transform(orders, transactions, date, customers=None) -> DataFrame:
-    # ``customers`` is accepted for interface parity; the region it would add
-    # is never used, so it is not joined.
+def transform(orders, transactions, date) -> DataFrame:
     out = with_growth(monthly_kpis(orders, transactions))
     return out.select("*", run_date_lit(date).alias("ingestion_date"))
