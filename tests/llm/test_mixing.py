@@ -61,3 +61,12 @@ def test_edges(docs, empty):
     assert mixing.mix(docs([], "doc_id long, source string, size long")).count() == 0
     rows = mixing.mix(docs([(1, "a", 0, "x"), (1, "a", 0, "x"), (2, None, 5, "y")], "doc_id long, source string, size long, copies string")).collect()
     assert sorted((r.doc_id, r.copies * r.size) for r in rows) == [(1, 0), (1, 0), (2, 5)] or sum(r.copies * r.size for r in rows) in (5, 10)
+
+
+def test_names_that_clash_and_null_sizes(docs):
+    names = ["doc_id", "source", "size", "_source", "_row", "row", "part", "end", "rate", "start", "copies"]
+    rows = [(i, "ab"[i % 2], None if i == 7 else i % 5, "kept", *["x"] * 7) for i in range(40)]
+    got = mixing.mix(docs(rows, ", ".join(f"{n} {'long' if n in ('doc_id', 'size') else 'string'}" for n in names)))
+    assert got.columns == [*names[:-1], "source_size", "target", "copies"]
+    kept = {r.doc_id: r for r in got.collect()}
+    assert len(kept) == 40 and all(r["_source"] == "kept" and r["rate"] == "x" for r in kept.values()) and kept[7]["size"] is None

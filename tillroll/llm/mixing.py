@@ -5,17 +5,22 @@ source's size.  Within a source the documents stand in a random order within
 size octaves (bit length of the size, then a hash of the id); their expected
 copies are prefix-summed, one random offset is added, and a document is taken
 once for each integer boundary its interval crosses.  A document expecting e
-copies gets floor(e) or ceil(e).
+copies gets floor(e) or ceil(e), so what a source's words miss its target by is
+ruled by its longest documents, which are taken whole or not.
 
 The prefix sum has two levels: sums of (source, octave, hash prefix) buckets,
 then running sums inside a bucket.  A source of any size is spread over its
 buckets; no task holds a whole source.  Expected copies are whole numbers of
 2**-24, so sums are exact and reruns agree.
 
-Defined cases: null text has size 0; documents without a word and sources of
-size 0 add nothing to a target (size-0 sources are not taken, other empty texts
-follow their source's rate); a null source is a source of its own, ordered
-last; repeated rows are documents of their own; null ids hash as empty text.
+Defined cases: null text, or a null size, counts 0; documents without a word and
+sources of size 0 add nothing to a target (size-0 sources are not taken, other
+empty texts follow their source's rate); a very long text is one document of
+its size; a null source is a source of its
+own, ordered last; ties in size and repeated rows are documents of their own,
+each with its own interval; null ids hash as empty text; an empty table gives
+an empty result; further columns are kept whatever their names, but for
+source_size, target and copies, which are replaced.
 """
 
 from __future__ import annotations
@@ -56,40 +61,35 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), share
     return level.withColumn("target", F.when(F.col("_full"), F.col("_cap")).otherwise(height * F.col("_weight"))).select("source", "source_size", "target")
 
 
-def _keys(docs: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame) -> DataFrame:
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    return docs.withColumns({
-        "_source": F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")),
-        "_octave": F.length(F.bin("size")),
-        "_order": digest,
-        "_part": F.substring(digest, 1, 2),
-    })
+    size = F.coalesce(F.col("size"), F.lit(0)).cast("long")
+    return docs.select(
+        F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")).alias("name"), "source", size.alias("n_words"),
+        F.length(F.bin(size)).alias("octave"), F.substring(digest, 1, 2).alias("part"), digest.alias("digest"), "doc_id", F.struct("*").alias("row"),
+    )
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """The documents (doc_id, source, size and any other columns) with
     source_size, target and copies, the times the mix takes the document; columns
     of these names are replaced."""
-    docs = without(docs, "source_size", "target", "copies")
-    keys = ["_source", "_octave", "_part"]
-    buckets = materialize(_keys(docs.select("doc_id", "source", "size")).groupBy("source", *keys).agg(F.sum("size").alias("_size"), F.count("*").alias("_n")), "mix-buckets")
-    targets = source_targets(buckets.groupBy("source").agg(F.sum("_size").alias("source_size")), weights, share, most)
+    keyed = _keyed(without(docs, "source_size", "target", "copies"))
+    bucket = ["name", "octave", "part"]
+    buckets = materialize(keyed.groupBy("source", *bucket).agg(F.sum("n_words").alias("n_words"), F.count("*").alias("n")), "mix-buckets")
+    targets = source_targets(buckets.groupBy("source").agg(F.sum("n_words").alias("source_size")), weights, share, most)
     rate = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") * UNIT + 0.5)).otherwise(F.lit(0)).cast("long")
     offset = F.conv(F.substring(F.md5(F.concat(F.lit("offset:"), F.coalesce("source", F.lit(""))).cast("binary")), 1, 6), 16, 10).cast("long")
-    targets = targets.withColumns({"_rate": rate, "_offset": offset, "_source": F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))}).drop("source")
-    earlier = Window.partitionBy("_source").orderBy("_octave", "_part").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (
-        buckets.drop("source", "_size").join(targets, "_source")
-        .withColumn("_before", F.coalesce(F.sum(F.col("_n") * F.col("_rate")).over(earlier), F.lit(0)) + F.col("_offset"))
-        .drop("_n", "_offset")
-    )
-    inside = Window.partitionBy(*keys).orderBy("_order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.col("_before") + F.sum("_rate").over(inside)
-    return (
-        _keys(docs).join(placed, keys).withColumn("_end", end)
-        .withColumn("copies", F.shiftright("_end", 24) - F.shiftright(F.col("_end") - F.col("_rate"), 24))
-        .drop(*keys, "_order", "_rate", "_before", "_end")
-    )
+    name = F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))
+    targets = targets.select(name.alias("name"), "source_size", "target", rate.alias("rate"), offset.alias("offset"))
+    earlier = Window.partitionBy("name").orderBy("octave", "part").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.col("n") * F.col("rate")).over(earlier), F.lit(0))
+    placed = buckets.drop("source", "n_words").join(targets, "name").withColumn("start", before + F.col("offset"))
+    inside = Window.partitionBy(*bucket).orderBy("digest", "doc_id", "n_words").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.col("start") + F.sum("rate").over(inside)
+    taken = F.shiftright("end", 24) - F.shiftright(F.col("end") - F.col("rate"), 24)
+    mixed = keyed.drop("source").join(placed.select(*bucket, "start", "rate", "source_size", "target"), bucket).withColumn("end", end)
+    return mixed.select("row.*", "source_size", "target", taken.alias("copies"))
 
 
 ORACLE_SQL = r"""
