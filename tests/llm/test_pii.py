@@ -73,3 +73,82 @@ def test_redact(docs, edge, empty):
 def test_main_path_is_native(docs):
     plan = pii.report(docs([(1, "a@b.cd")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_grouped_numbers_are_found_whole(docs):
+    seeds = [(i, f"ring me at +1 (523) 555-10{i}5 any day") for i in range(6)]
+    rows = seeds + [(100, "ring me at 555 867 5309 any day"), (101, "ring me at (555) 123-4567 any day"), (102, "ring me at 12 any day"), (103, "ring me at " + "5 " * 40 + "any day"), (104, "pages 555 867 5309 of it")]
+    got = {r.doc_id: r for r in pii.report(docs(rows)).collect()}
+    assert got[100].spans == "phone:11:23" and got[101].spans == "phone:11:25"
+    assert all(got[i].n_added == 0 for i in (102, 103, 104))
+
+
+def test_context_words_are_whole(docs):
+    end = "w" * 90
+    seeds = [(i, f"note x{end} user{i}@site{i}.org y{end}") for i in range(6)] + [(20 + i, f"room 12 user{i}@host{i}.org here") for i in range(6)]
+    rows = seeds + [(100, f"note x{end} bob@localhost y{end}"), (101, f"note z{end} bob@localhost y{end}"), (102, "room 12 amy@localhost here"), (103, "room 13 amy@localhost there")]
+    got = {r.doc_id: r for r in pii.report(docs(rows)).collect()}
+    assert [got[i].n_added for i in (100, 101, 102, 103)] == [1, 0, 1, 0]
+
+
+def brute_words(text, lo, hi):
+    """The words around a span, lower-cased."""
+    before, after = re.findall(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", text[:lo]), re.findall(r"[^\x20\x09-\x0D]+", text[hi:])
+    return "".join(before[-2:]).rstrip(" \n\t").lower() if len(before) > 1 else "", before[-1].strip().lower() if before else "", after[0].lower() if after else ""
+
+
+def brute_discover(rows):
+    """Scores of patterns and values in plain loops: rows of (kind, value, two, last, following)."""
+    edges = {}
+    for kind, value, two, last, following in rows:
+        for pattern in ([f"L {two}"] if two else []) + ([f"A {last} _ {following}"] if last and following else []):
+            seed = edges.setdefault(pattern, {}).get(value)
+            edges[pattern][value] = min(filter(None, (seed, kind)), default=None)
+    found, confident = {}, {}
+    for _ in range(pii.ROUNDS):
+        doubts = {}
+        for (pattern, kind), c in confident.items():
+            for value, seed in edges[pattern].items():
+                if seed is None:
+                    doubts[value, kind] = doubts.get((value, kind), 1.0) * max(1e-9, 1 - c)
+        found, confident = {k: 1 - d for k, d in doubts.items()}, {}
+        for pattern, values in edges.items():
+            seeds = [s for s in values.values() if s]
+            for kind in set(seeds):
+                if seeds.count(kind) >= pii.SEEDS:
+                    c = sum((s == kind) if s else found.get((v, kind), 0.0) for v, s in values.items()) / len(values)
+                    if c >= 0.75 * pii.CONFIDENT:
+                        confident[pattern, kind] = c
+    return {k: c for k, c in confident.items() if c >= pii.CONFIDENT}
+
+
+def test_scores_against_brute_force(docs):
+    rng = random.Random(8)
+    lead, tail = ["call", "the  mailbox", "my box is", "id", "x 7 at"], ["now", "or", "ok\n"]
+    value = [lambda: f"u{rng.randint(0, 30)}@s.org", lambda: f"+1 (523) 555-1{rng.randint(100, 130)}", lambda: f"b{rng.randint(0, 5)}@local", lambda: f"555 867 53{rng.randint(10, 14)}", lambda: f"c{rng.randint(0, 3)}"]
+    rows = []
+    for i in range(400):
+        text = ""
+        for _ in range(rng.randint(1, 4)):
+            k = rng.randrange(5)
+            v = value[rng.choice([0, 0, 0, 0, 0, 0, 0, 2, 4] if k in (1, 2) else [1, 1, 1, 1, 1, 1, 1, 3, 4] if k == 0 else range(5))]
+            text += f"{lead[k]} {v()} {rng.choice(tail)} "
+        rows.append((i, text))
+    text = dict(rows)
+    met = pii.materialize(pii.mentions(docs(rows)), "t")
+    plain = [r for r in met.collect()]
+    for r in plain:
+        assert text[r.doc_id][r.lo : r.hi] == r.value
+        assert (r.two, r.last, r.following) == brute_words(text[r.doc_id], r.lo, r.hi), (r, text[r.doc_id])
+    sure = brute_discover([(r.kind, r.value, r.two, r.last, r.following) for r in plain])
+    want = {}
+    for r in plain:
+        n = len(digits(r.value))
+        looks = {"email": "@" in r.value and len(r.value) >= 5, "ip": False, "card": n >= 12, "phone": n >= 7}
+        for pattern in (f"L {r.two}", f"A {r.last} _ {r.following}"):
+            for kind, ok in looks.items():
+                if r.kind is None and ok and (pattern, kind) in sure:
+                    want[r.doc_id, r.lo, r.hi] = max(want.get((r.doc_id, r.lo, r.hi), (0, "")), (sure[pattern, kind], kind))
+    want = {(*k, v[1]) for k, v in want.items() if not any(o[0] == k[0] and o != k and o[1] <= k[1] and k[2] <= o[2] for o in want)}
+    got = {(r.doc_id, r.lo, r.hi, r.kind) for r in pii.discover(met).collect()}
+    assert got == want and len(want) > 10

@@ -6,16 +6,26 @@ are its lexical patterns: the two before it, and the one before with the one
 after.  Patterns and the values met in them make a graph that Spark scores in
 rounds: a pattern's confidence is the mean score of its distinct values, a
 value's score is 1 minus the product of the doubts of its confident patterns.
-Tokens that no base pattern matched are added where a confident pattern stands
-around them and they look like its kind.  Copies of a text add nothing to a
-pattern: values are counted once.
+Candidates are tokens that hold a digit or an @, and runs of number groups
+joined by a space, a hyphen or brackets.  Those that overlap no base span are
+added where a confident pattern stands around them and they look like its kind;
+of added spans the longest stays.  Copies of a text add nothing to a pattern:
+values are counted once.
+
+Words are whole, whatever their length, and those around a base span and around
+a candidate are read alike from the text around them.  They reach back and
+forth over two other matches of the kind: only a word that holds more than two
+(a list of addresses without white space) is cut.
 
 Only DataFrame functions run: regular expressions give matches and the pieces
 between them, whose lengths give the places.  The expressions are those of the
 kinds in linear form (possessive, and no start inside a run that has failed).
 
-Defined cases: null is empty; rows equal in doc_id and text share their spans;
-null ids work as any other; extra columns are kept by ``redact``.
+Defined cases: null is empty; empty texts and empty tables have no spans; a very
+long text is read whole, in time linear in its length; rows equal in doc_id and
+text share their spans; null ids work as any other; a token that patterns of
+several kinds find takes the kind of the surest (ties: the later name); extra
+columns are kept by ``redact``, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,6 +47,13 @@ KINDS = {
 }
 #: Tokens that may be identifiers: they hold a digit or an @.
 TOKEN = rf"(?<![^{_SPACE}])[^{_SPACE}0-9@]*+[0-9@][^{_SPACE}]*+"
+#: Number groups that a space, a hyphen or brackets join.
+RUN = rf"(?<![^{_SPACE}])\(?[0-9]++(?:\)?[\x20-]?\(?[0-9]++)++"
+#: Most digits of a run: those of the longest card number.
+RUN_DIGITS = 19
+CANDIDATES = {"token": TOKEN, "run": RUN}
+#: A longer pattern is stood for by its SHA-256.
+LONG = 200
 NUMBER = {kind: k for k, kind in enumerate(KINDS)}
 #: A pattern needs so many distinct seeds, and a value or pattern this score; rounds of scoring.
 SEEDS, CONFIDENT, ROUNDS = 3, 0.8, 3
@@ -67,12 +84,13 @@ def _passes(kind: Column, value: Column) -> Column:
         .when(kind == "ip", value.rlike(rf"^{part}\.{part}\.{part}\.{part}$"))
         .when(kind == "card", F.when(F.length(_digits(value)).between(14, 19), _luhn(value)).otherwise(False))
         .when(kind == "phone", F.length(_digits(value)).between(10, 15))
+        .when(kind == "run", F.length(_digits(value)) <= RUN_DIGITS)
         .otherwise(True)
     )
 
 
 def _looks_like(kind: Column, value: Column) -> Column:
-    """Whether a token can be an identifier of a kind."""
+    """Whether a candidate can be an identifier of a kind."""
     digits = F.length(_digits(value))
     return (
         F.when(kind == "email", value.contains("@") & (F.length(value) >= 5))
@@ -83,48 +101,57 @@ def _looks_like(kind: Column, value: Column) -> Column:
 
 
 def _matches(keyed: DataFrame, kind: str, pattern: str, hint: Column | None) -> DataFrame:
-    """Every match of a kind with the pieces before and after it: one row a match."""
+    """Every match of a kind with the whole words around it: one row a match."""
+    space, word = f"[{_SPACE}]", f"[^{_SPACE}]"
     rows = keyed if hint is None else keyed.where(hint)
     rows = rows.withColumn("m", F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).where(F.size("m") > 0)
-    pieces = F.split("text", pattern, -1)
-    left = F.transform(pieces, lambda p: F.struct(F.length(p).alias("length"), F.lower(F.right(p, F.lit(80))).alias("tail"), F.lower(F.left(p, F.lit(40))).alias("head")))
-    rows = rows.select("doc_id", "th", "m", left.alias("p"))
-    each = F.transform(F.col("m"), lambda v, i: F.struct(v.alias("value"), F.get("p", i).alias("before"), F.get("p", i + 1).getField("head").alias("after")))
-    return rows.select("doc_id", "th", F.lit(kind).alias("kind"), F.posexplode(each).alias("at", "x")).select(
-        "doc_id", "th", "kind", "at", "x.value", F.col("x.before.length").alias("gap"), F.col("x.before.tail").alias("tail"), F.col("x.after").alias("head")
+    rows = rows.withColumn("p", F.split("text", pattern, -1)).select(
+        "doc_id", "th", "m", F.transform("p", F.length).alias("gaps"),
+        # the ends of each piece: its last two words, backwards, and its first word
+        F.transform("p", lambda p: F.regexp_extract(F.reverse(p), f"^{space}*+{word}*+{space}*+{word}*+{space}?", 0)).alias("q"),
+        F.transform("p", lambda p: F.regexp_extract(p, f"^{space}*+{word}*+{space}?", 0)).alias("h"),
+    )
+    at = lambda name, i: F.coalesce(F.get(name, i), F.lit(""))
+    back = lambda i: F.concat(at("q", i), F.reverse(at("m", i - 1)), at("q", i - 1), F.reverse(at("m", i - 2)), at("q", i - 2))
+    ahead = lambda i: F.concat(at("h", i + 1), at("m", i + 1), at("h", i + 2), at("m", i + 2), at("h", i + 3))
+    each = F.transform("m", lambda v, i: F.struct(v.alias("value"), F.get("gaps", i).alias("gap"), back(i).alias("back"), ahead(i).alias("ahead")))
+    rows = rows.select("doc_id", "th", F.lit(kind).alias("kind"), F.posexplode(each).alias("at", "x"))
+    words = lambda c, what: F.lower(F.regexp_extract(c, f"^{space}*+({what})", 1))
+    return rows.select(
+        "doc_id", "th", "kind", "at", "x.value", "x.gap", F.reverse(words("x.back", f"{word}++{space}++{word}++")).alias("two"),
+        F.reverse(words("x.back", f"{word}++")).alias("last"), words("x.ahead", f"{word}++").alias("following"),
     )
 
 
 def mentions(docs: DataFrame) -> DataFrame:
-    """All matches of the kinds that pass, and all tokens that overlap none of
-    them (kind null): doc_id, th, kind, value, lo, hi (characters), tail, head."""
+    """All matches of the kinds that pass, and all candidates that overlap none
+    of them (kind null): doc_id, th, kind, value, lo, hi (characters), and the words
+    around: two (the two before), last (the one before), following."""
     keyed = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("th"), text_or_empty().alias("text"))
     hints = {"email": F.col("text").contains("@"), "phone": F.col("text").contains("+"), "ip": F.col("text").contains(".")}
-    found = [_matches(keyed, kind, pattern, hints.get(kind)) for kind, pattern in {**KINDS, "token": TOKEN}.items()]
+    found = [_matches(keyed, kind, pattern, hints.get(kind)) for kind, pattern in {**KINDS, **CANDIDATES}.items()]
     rows = reduce(DataFrame.union, found).repartition("doc_id", "th", "kind").dropDuplicates(["doc_id", "th", "kind", "at"])
     upto = F.sum(F.col("gap") + F.length("value")).over(Window.partitionBy("doc_id", "th", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0))
     rows = rows.withColumn("hi", upto.cast("long")).withColumn("lo", F.col("hi") - F.length("value")).where(_passes(F.col("kind"), F.col("value")))
-    is_base = F.col("kind") != "token"
+    is_base = ~F.col("kind").isin(*CANDIDATES)
     by_place = Window.partitionBy("doc_id", "th").orderBy("lo", "hi", "kind")
     behind = F.max(F.when(is_base, F.col("hi"))).over(by_place.rowsBetween(Window.unboundedPreceding, -1))
     ahead = F.min(F.when(is_base, F.col("lo"))).over(by_place.rowsBetween(1, Window.unboundedFollowing))
     free = is_base | ((F.coalesce(behind, F.lit(0)) <= F.col("lo")) & (F.coalesce(ahead, F.col("hi")) >= F.col("hi")))
     rows = rows.withColumn("free", free).where("free")
-    return rows.select("doc_id", "th", F.when(is_base, F.col("kind")).alias("kind"), "value", "lo", "hi", "tail", "head")
+    return rows.select("doc_id", "th", F.when(is_base, F.col("kind")).alias("kind"), "value", "lo", "hi", "two", "last", "following")
 
 
 def _patterns(rows: DataFrame) -> DataFrame:
     """One row for each mention and pattern around it."""
-    word = rf"[^{_SPACE}]+"
-    two = F.regexp_extract("tail", rf"({word}[{_SPACE}]+{word})[{_SPACE}]*$", 1)
-    last = F.regexp_extract("tail", rf"({word})[{_SPACE}]*$", 1)
-    following = F.regexp_extract("head", rf"^[{_SPACE}]*({word})", 1)
+    two, last, following = F.col("two"), F.col("last"), F.col("following")
     around = F.array(F.when(two != "", F.concat(F.lit("L "), two)), F.when((last != "") & (following != ""), F.concat(F.lit("A "), last, F.lit(" _ "), following)))
-    return rows.withColumn("pattern", F.explode(F.array_compact(around))).drop("tail", "head")
+    rows = rows.withColumn("pattern", F.explode(F.array_compact(around))).drop("two", "last", "following")
+    return rows.withColumn("pattern", F.when(F.length("pattern") > LONG, F.sha2("pattern", 256)).otherwise(F.col("pattern")))
 
 
 def discover(rows: DataFrame) -> DataFrame:
-    """The tokens that confident patterns find: doc_id, th, kind, lo, hi."""
+    """The candidates that confident patterns find, none inside another: doc_id, th, kind, lo, hi."""
     met = _patterns(rows)
     edges = materialize(met.groupBy("pattern", "value").agg(F.min("kind").alias("seed")), "pii-edges")
     # patterns without enough seeds of a kind never count
@@ -146,7 +173,10 @@ def discover(rows: DataFrame) -> DataFrame:
     tokens = met.where("kind is null").drop("kind").join(sure, "pattern").where(_looks_like(F.col("kind"), F.col("value")))
     # one kind for a token: that of its surest pattern
     best = F.max(F.struct("confidence", F.col("kind").alias("best"))).getField("best")
-    return tokens.groupBy("doc_id", "th", "lo", "hi").agg(best.alias("kind")).select("doc_id", "th", "kind", "lo", "hi")
+    found = tokens.groupBy("doc_id", "th", "lo", "hi").agg(best.alias("kind"))
+    by_place = Window.partitionBy("doc_id", "th").orderBy("lo", F.col("hi").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    found = found.withColumn("upto", F.coalesce(F.max("hi").over(by_place), F.lit(0))).where("hi > upto")
+    return found.select("doc_id", "th", "kind", "lo", "hi")
 
 
 def spans(docs: DataFrame) -> DataFrame:
