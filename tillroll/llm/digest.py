@@ -18,7 +18,10 @@ read once, in one shuffle of the texts, and none needs another.
 
 Defined cases: null is empty; texts of less than three bytes have no triplet
 and differ by length only; two empty texts have likeness 1.
-Rows are ordered by id, null last, then by text; a single document follows itself.
+Rows are ordered by id, null last, then by text; a single document follows itself;
+a very long text is digested whole; an empty table gives an empty result; columns
+other than doc_id and text are not read.  Ids are numbers: the ranges are cut at
+their quantiles, so text ids fail.
 """
 
 from __future__ import annotations

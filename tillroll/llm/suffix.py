@@ -23,7 +23,9 @@ No string crosses documents: blocks are taken within one.
 
 Defined cases: null is empty; texts shorter than ``length`` lose nothing;
 repeated rows are copies of each other (with ``keep="first"`` rows that are
-equal in doc_id and text count as one); rows of a null id work as any other.
+equal in doc_id and text count as one); rows of a null id work as any other; a
+very long text is read whole; an empty table gives an empty result; columns
+other than doc_id and text are not read.
 """
 
 from __future__ import annotations
