@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -102,3 +103,22 @@ def test_keep_one_keeps_columns(docs):
     rows = [(2, "a b c d e f", "x", 1), (1, "a b c d e f", "y", 2), (3, None, "z", 3), (3, None, "z", 3), (None, "q r s", "n", 4)]
     kept = minhash.keep_one(docs(rows, "doc_id long, text string, node string, class_id int"))
     assert sorted(kept.collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0)) == [(1, "a b c d e f", "y", 2), (3, None, "z", 3), (None, "q r s", "n", 4)]
+
+
+def test_oracle_sql(docs):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(60)]
+    base = [" ".join(rng.choice(words) for _ in range(40)) for _ in range(5)]
+    rows = [(i, t) for i, t in enumerate(base + base[:2])]
+    for i in range(20, 50):
+        w = rng.choice(base).split()
+        w[rng.randrange(40)] = "new"
+        rows.append((i, " ".join(w)))
+    rows += [(60, None), (61, ""), (62, " \t"), (63, "one two"), (64, "one  two"), (65, "two one"), (66, "a a a a a a a"), (67, "a a a a a a")]
+    c = duckdb.connect()
+    c.execute("create table documents (doc_id bigint, text varchar)")
+    c.executemany("insert into documents values (?, ?)", rows)
+    want = c.execute(minhash.ORACLE_SQL).fetch_arrow_table().to_pylist()
+    got = [r.asDict() for r in minhash.classes(docs(rows)).drop("th").collect()]
+    key = lambda r: sorted(r.items(), key=str)
+    assert sorted(map(key, got), key=str) == sorted(map(key, want), key=str)

@@ -4,8 +4,11 @@ import hashlib
 import random
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tillroll.llm import suffix
 from llm_fixtures import docs, edge, empty, llm  # noqa: F401
@@ -79,3 +82,42 @@ def test_previous_factors():
         g = text[w][s : s + 9]
         places = [(k, p) for k, t in enumerate(text) for p in range(len(t) - 8) if t[p : p + 9] == g]
         assert e == any(p < (w, s) for p in places) and o == (len(places) > 1)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("ab", min_size=12, max_size=60), min_size=1, max_size=6), st.integers(1, 12))
+def test_factor_lengths(texts, length):
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    size = [len(t) for t in texts]
+    base = np.cumsum([0, *size])
+    places = np.concatenate([np.arange(base[k], base[k + 1] - length + 1) for k in range(len(texts))])
+    factor, source = suffix.factor_lengths(data, places, length)
+    raw = data.tobytes()
+    common = lambda a, b: next((k for k in range(length) if raw[a + k] != raw[b + k]), length)
+    for i, p in enumerate(places.tolist()):
+        want = max((common(p, q) for q in places[:i].tolist()), default=0)
+        assert factor[i] == want
+        assert source[i] < i and (source[i] == -1) == (want == 0) and (want == 0 or common(p, int(places[source[i]])) == want)
+
+
+def test_previous_smaller_past_its_rounds():
+    rng = np.random.default_rng(3)
+    for values in (np.append(np.arange(1, 500), [0, 700, -1]), rng.permutation(400), np.arange(300)[::-1]):
+        step = rng.integers(0, 50, len(values))
+        for rounds in (0, 1, 64):
+            to, least = suffix.previous_smaller(values, step, rounds)
+            for i in range(len(values)):
+                j = max((k for k in range(i) if values[k] < values[i]), default=-1)
+                assert to[i] == j and least[i] == step[max(j + 1, 0) : i + 1].min()
+
+
+def test_oracle_sql(docs):
+    rng = random.Random(5)
+    shared = "".join(rng.choice("abcdefgé ") for _ in range(1500))
+    rows = [(0, shared), (1, "x" + shared[:700] + "y" + shared[600:]), (2, "q" * 900), (3, None), (4, ""), (5, shared[:399]), (6, "z" * 400), (None, shared[200:900]), (7, shared[200:900])]
+    c = duckdb.connect()
+    c.execute("create table documents (doc_id bigint, text varchar)")
+    c.executemany("insert into documents values (?, ?)", rows)
+    want = c.execute(suffix.ORACLE_SQL).fetchall()
+    got = [tuple(r) for r in suffix.remove_repeats(docs(rows)).drop("kept").collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)

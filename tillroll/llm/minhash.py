@@ -295,4 +295,29 @@ def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     return kept.dropDuplicates(["doc_id", "text"]).select("_row.*")
 
 
+
+#: The rows of ``classes`` over documents (less ``th``): every pair that shares a shingle is compared.
+ORACLE_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+),
+places AS (SELECT rid, w, unnest(range(1, greatest(len(w) - {SHINGLE - 1}, least(len(w), 1)) + 1)) AS p FROM d),
+bags AS (SELECT rid, w[p : p + {SHINGLE - 1}] AS s, count(*) AS c FROM places GROUP BY ALL),
+sizes AS (SELECT rid, sum(c)::BIGINT AS n FROM bags GROUP BY rid),
+contents AS (SELECT rid, min(rid) OVER (PARTITION BY w) AS one FROM d),
+own AS (SELECT bags.* FROM bags JOIN contents USING (rid) WHERE rid = one),
+shared AS (SELECT x.rid AS a, y.rid AS b, sum(least(x.c, y.c)) AS overlap FROM own x JOIN own y ON x.s = y.s AND x.rid < y.rid GROUP BY ALL),
+near AS (
+  SELECT a, b FROM shared JOIN sizes m ON m.rid = a JOIN sizes n ON n.rid = b WHERE overlap / (m.n + n.n - overlap) >= {SIMILARITY}::DOUBLE
+  UNION ALL SELECT one, rid FROM contents SEMI JOIN sizes USING (rid) WHERE one <> rid
+),
+links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+reached AS (SELECT rid AS a, rid AS b FROM d UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+roots AS (SELECT a AS rid, min(b) AS root FROM reached GROUP BY a),
+heads AS (SELECT root, min(doc_id) AS class_id, count(*) AS class_size FROM roots JOIN d USING (rid) GROUP BY root)
+SELECT doc_id, class_id, class_size::BIGINT AS class_size, coalesce(n, 0)::BIGINT AS n_shingles, doc_id IS NOT DISTINCT FROM class_id AS is_first
+FROM d JOIN roots USING (rid) JOIN heads USING (root) LEFT JOIN sizes USING (rid)
+"""
+
+
 __all__ = ["bag_minhash", "band_keys", "classes", "jaccard", "keep_one", "shingles", "signatures"]

@@ -35,7 +35,7 @@ def ship(spark: SparkSession) -> None:
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.classes(table(spark, sf_dir, "documents"))
+    return minhash.classes(table(spark, sf_dir, "documents")).drop("th")
 
 
 def op2_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +129,9 @@ _OPERATORS: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_minhash_near_dedup": minhash.ORACLE_SQL,
     "op2_systematic_mixing": mixing.ORACLE_SQL,
+    "op4_suffix_repeats": suffix.ORACLE_SQL,
     "op11_phrase_collocations": phrases.ORACLE_SQL,
     "op13_multi_index_negatives": negatives.ORACLE_SQL,
 }

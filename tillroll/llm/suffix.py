@@ -12,10 +12,11 @@ first copy, the one with the smallest (doc_id, position) (``keep="first"``).
    once is not repeated at all.
 3. Only anchors with several contents, one of them met once, are left.  The
    suffixes of their contents, one copy each, are put in suffix order to depth
-   ``length`` by prefix doubling (ranks of 8, 16, ... bytes).  Suffixes of one
-   rank share ``length`` bytes and stand by position, so the previous smaller
-   position of a suffix is its neighbour before it and no next one is smaller:
-   its longest previous factor reaches ``length`` if there is one.
+   ``length`` by prefix doubling (ranks of 8, 16, ... bytes), equal ones by
+   position.  The ranks give the common prefix of neighbours; previous and next
+   smaller positions in suffix order give each start its longest previous
+   factor and where that lies.  A start is a later copy if its factor reaches
+   ``length``, and the first copy if such a factor lies at it.
    Anchors with more contents than ``MANY`` are settled in Spark instead, by
    grouping the fingerprints of all their starts.
 
@@ -110,27 +111,95 @@ def _extract(length: int):
                 raw = data[offsets[i] : offsets[i + 1]].tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id")[i : i + 1].take(pa.array([0] * len(picks))), batch.column("th")[i : i + 1].take(pa.array([0] * len(picks))),
-                     pa.array([p["anchor"] for p in picks], pa.int64()), pa.array([p["copies"] for p in picks], pa.int64()),
+                     pa.array([p["anchor"] for p in picks], pa.int64()), pa.array([p["copies"] for p in picks], pa.int64()), pa.array([p["kinds"] for p in picks], pa.int64()),
                      pa.array([p["lo"] for p in picks], pa.int32()), pa.array([raw[p["lo"] : p["lo"] + p["n"] + length - 1] for p in picks], pa.binary())],
-                    names=["doc_id", "th", "anchor", "copies", "lo", "bytes"],
+                    names=["doc_id", "th", "anchor", "copies", "kinds", "lo", "bytes"],
                 )
 
     return run
 
 
-def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
-    """Rank of each suffix by its first ``length`` bytes (equal ranks: equal bytes), by prefix doubling."""
+def suffix_ranks(data: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
+    """Ranks of all suffixes by their first 8, 16, ... ``length`` bytes (equal
+    ranks: equal bytes), by prefix doubling: (depth, ranks) of each step."""
     n = len(data)
     padded = np.append(data, np.zeros(length + 8, np.uint8)).astype(np.uint64)
+    depth = min(8, length)
     key = np.zeros(n, np.uint64)
-    for k in range(8):
+    for k in range(depth):
         key = key << np.uint64(8) | padded[k : k + n]
-    rank, depth = _dense(key), 8
+    rank = _dense(key)
+    out = [(depth, rank.astype(np.uint32))]
     while depth < length:
         ahead = min(depth, length - depth)
         later = np.append(rank[ahead:], np.zeros(ahead, np.uint64))
         rank, depth = _dense(rank * np.uint64(n + 1) + later), depth + ahead
-    return rank
+        out.append((depth, rank.astype(np.uint32)))
+    return out
+
+
+def common_prefixes(data: np.ndarray, ranks: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bytes that the suffixes at a and at b have in common, to the depth of the
+    ranks; the suffixes are that long."""
+    most = ranks[-1][0]
+    out = np.where(ranks[-1][1][a] == ranks[-1][1][b], most, 0)
+    open_ = out == 0
+    for depth, rank in ranks[-2::-1]:
+        on = np.flatnonzero(open_)
+        out[on] += np.where(rank[a[on] + out[on]] == rank[b[on] + out[on]], depth, 0)
+    for _ in range(min(7, most - 1)):
+        on = np.flatnonzero(open_)
+        same = data[a[on] + out[on]] == data[b[on] + out[on]]
+        out[on] += same
+        open_[on[~same]] = False
+    return out
+
+
+def previous_smaller(values: np.ndarray, step: np.ndarray, rounds: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """For each place the nearest place before it with a smaller value (-1: none),
+    and the least of ``step`` on the way there; step[i] leads from i - 1 to i.
+
+    Pointers jump together; what is still under way after ``rounds`` hops along
+    finished pointers one by one, at most one hop for each place in all."""
+    n = len(values)
+    to, least = np.arange(n) - 1, step.copy()
+    on = np.arange(n)
+    for _ in range(rounds):
+        on = on[to[on] >= 0]
+        on = on[values[to[on]] > values[on]]
+        if not len(on):
+            return to, least
+        by = to[on]
+        least[on], to[on] = np.minimum(least[on], least[by]), to[by]
+    for i in on.tolist():
+        j, m = i - 1, step[i]
+        while j >= 0 and values[j] > values[i]:
+            m, j = min(m, least[j]), to[j]
+        to[i], least[i] = j, m
+    return to, least
+
+
+def factor_lengths(data: np.ndarray, places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the suffixes at ``places`` (ascending, ``length`` bytes or more each): the
+    length of the longest previous factor, to ``length`` at most, and the number
+    of the place where it lies (-1: none)."""
+    n = len(places)
+    ranks = suffix_ranks(data, length)
+    order = np.argsort(ranks[-1][1][places], kind="stable")  # suffix order; equal to the depth: by position
+    at = places[order]
+    step = np.zeros(n, np.int64)
+    step[1:] = common_prefixes(data, ranks, at[:-1], at[1:])
+    del ranks
+    before, up = previous_smaller(order, step)
+    # the same from the other end: the next smaller position
+    after, down = previous_smaller(order[::-1], np.append(0, step[:0:-1])[:n])
+    after, down = np.where(after < 0, -1, n - 1 - after)[::-1], down[::-1]
+    up, down = np.where(before < 0, 0, up), np.where(after < 0, 0, down)
+    own = np.maximum(up, down)
+    factor, source = np.zeros(n, np.int64), np.full(n, -1)
+    factor[order] = own
+    source[order] = np.where(own == 0, -1, order[np.where(up >= down, before, after)])
+    return factor, source
 
 
 def _dense(key: np.ndarray) -> np.ndarray:
@@ -146,17 +215,14 @@ def previous_factors(contents: list[bytes], length: int) -> tuple[np.ndarray, np
     the longest previous factor, and whether any other one, reaches ``length``."""
     size = np.array([len(c) for c in contents])
     data = np.frombuffer(b"".join(contents), np.uint8)
-    rank = suffix_ranks(data, length)
     count = size - length + 1
     which = np.repeat(np.arange(len(size)), count)
     start = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    own = rank[np.repeat(np.cumsum(size) - size, count) + start]
-    order = np.argsort(own, kind="stable")  # suffix order; equal to the depth: by position
-    ordered = own[order]
-    same = ordered[1:] == ordered[:-1]
-    earlier, other = np.zeros(len(own), bool), np.zeros(len(own), bool)
-    earlier[order] = np.append(False, same)
-    other[order] = np.append(False, same) | np.append(same, False)
+    factor, source = factor_lengths(data, np.repeat(np.cumsum(size) - size, count) + start, length)
+    earlier = factor >= length
+    # a first copy: the second one's factor lies there
+    other = earlier.copy()
+    other[source[earlier]] = True
     return which, start, earlier, other
 
 
@@ -244,16 +310,15 @@ def repeated(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: in
     whole = whole.select("doc_id", "th", "lo", "n")
     open_ = contents.where("kinds > 1" + (" and least = 1" if keep == "none" else ""))
     picks = (
-        open_.select("at.doc_id", "at.th", F.struct("anchor", "copies", "at.lo", "at.n").alias("pick"), "kinds")
+        open_.select("at.doc_id", "at.th", F.struct("anchor", "copies", "kinds", "at.lo", "at.n").alias("pick"))
         .groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(F.collect_list("pick").alias("picks"))
     )
     one = keyed.join(picks, keyed.doc_id.eqNullSafe(picks._id) & (keyed.th == picks._th)).select("doc_id", "th", "text", "picks")
-    shape = f"doc_id {kind}, th bigint, anchor bigint, copies bigint, lo int, bytes binary"
+    shape = f"doc_id {kind}, th bigint, anchor bigint, copies bigint, kinds bigint, lo int, bytes binary"
     raw = materialize(one.mapInArrow(_extract(length), shape), "suffix-bytes").dropDuplicates(["doc_id", "th", "anchor", "lo"])
-    many = anchors.where(F.col("kinds") > MANY).select("anchor")
-    few = raw.join(many, "anchor", "left_anti")
+    few = raw.where(F.col("kinds") <= MANY)
     sorted_ = few.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort_suffixes(length, keep), f"doc_id {kind}, th bigint, lo int, n int")
-    starts = raw.join(many, "anchor").select("doc_id", "th", "anchor", "copies", "lo", "bytes").mapInArrow(_fingerprint_starts(length), f"doc_id {kind}, th bigint, anchor bigint, copies bigint, lo int, h bigint")
+    starts = raw.where(F.col("kinds") > MANY).mapInArrow(_fingerprint_starts(length), f"doc_id {kind}, th bigint, anchor bigint, copies bigint, lo int, h bigint")
     at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "lo")
     grouped = starts.groupBy("anchor", "h").agg(F.count("*").alias("times"), F.min(at).alias("at")).where("times > 1")
     later = starts.join(grouped, ["anchor", "h"])
@@ -299,3 +364,25 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none") ->
     joined = keyed.join(runs, keyed.doc_id.eqNullSafe(runs._id) & (keyed.th == runs._th), "left").select("doc_id", "text", "runs")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(_cut(length), f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_sha256 string")
+
+
+#: The rows of ``remove_repeats`` over documents (less ``kept``), by the 128-bit digests of all starts.
+ORACLE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+starts AS (SELECT rid, b, unnest(range(octet_length(b) - {LENGTH - 1})) AS p FROM d),
+digests AS (SELECT rid, p, md5_number(b[p + 1 : p + {LENGTH}]) AS h FROM starts),
+met AS (SELECT h FROM digests GROUP BY h HAVING count(*) > 1),
+marked AS (SELECT rid, p FROM digests SEMI JOIN met USING (h)),
+opened AS (SELECT rid, p, CASE WHEN p - lag(p) OVER (PARTITION BY rid ORDER BY p) <= {LENGTH} THEN 0 ELSE 1 END AS new FROM marked),
+numbered AS (SELECT rid, p, sum(new) OVER (PARTITION BY rid ORDER BY p ROWS UNBOUNDED PRECEDING) AS k FROM opened),
+spans AS (SELECT rid, min(p) AS lo, max(p) + {LENGTH} AS hi FROM numbered GROUP BY rid, k),
+gaps AS (
+  SELECT rid, coalesce(lag(hi) OVER (PARTITION BY rid ORDER BY lo), 0) AS a, lo AS z FROM spans
+  UNION ALL SELECT rid, coalesce(max(hi), 0), max(octet_length(b)) FROM d LEFT JOIN spans USING (rid) GROUP BY rid
+),
+kept AS (SELECT rid, unhex(string_agg(hex(b[a + 1 : z]), '' ORDER BY a)) AS k FROM gaps JOIN d USING (rid) GROUP BY rid),
+counted AS (SELECT rid, sum(hi - lo) AS n_removed, count(*) AS n_spans FROM spans GROUP BY rid)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(k) AS kept_sha256
+FROM d JOIN kept USING (rid) LEFT JOIN counted USING (rid)
+"""
