@@ -118,7 +118,8 @@ def test_oracle_sql(docs):
     c = duckdb.connect()
     c.execute("create table documents (doc_id bigint, text varchar)")
     c.executemany("insert into documents values (?, ?)", rows)
-    want = c.execute(minhash.ORACLE_SQL).fetch_arrow_table().to_pylist()
+    names = [col[0] for col in c.execute(minhash.ORACLE_SQL).description]
+    want = [dict(zip(names, r)) for r in c.fetchall()]
     got = [r.asDict() for r in minhash.classes(docs(rows)).drop("th").collect()]
     key = lambda r: sorted(r.items(), key=str)
     assert sorted(map(key, got), key=str) == sorted(map(key, want), key=str)
