@@ -20,7 +20,10 @@ The base score needs exact counts of words.  The most frequent words, at most
 
 Defined cases: a null text is empty; an empty text has its end as only token;
 A-Z count as a-z; null ids count as empty text in ``held_out``; repeated rows
-are texts of their own; without training rows every count is 0.
+are texts of their own; without training rows every count is 0; words of equal
+count are in the table of frequent ones together or not at all; a very long text
+is read whole, as a chunk of its own if need be; an empty table gives an empty
+result; columns other than doc_id, held_out and text are not read.
 """
 
 from __future__ import annotations

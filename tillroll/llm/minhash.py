@@ -23,7 +23,8 @@ Classes are the connected components of the verified links.
 Defined cases: null, empty or all-blank texts have no shingle and are a class
 each (by doc_id); rows of equal text share a class; null ids are allowed and
 never chosen as a class id unless the class has no other; extra columns are
-ignored by ``classes`` and kept by ``keep_one``.
+ignored by ``classes`` and kept by ``keep_one``; a very long text is read whole;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations

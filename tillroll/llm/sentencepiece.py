@@ -18,7 +18,7 @@ lets equal words be encoded once; a worker keeps a bounded cache of them.
 Characters outside the vocabulary become byte pieces or the unknown piece.
 
 Defined cases: a null or empty text has no pieces and decodes to empty; texts
-of any length are encoded whole.
+of any length are encoded whole; repeated rows are encoded each.
 """
 
 from __future__ import annotations
