@@ -20,7 +20,8 @@ LEAST_SCORE = 0.5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is predicted stay; those without a letter or with
-    an unsure prediction go."""
+    an unsure prediction go (null and empty texts with them).  Rows of a null lang
+    are not learned from but judged as any other; repeated rows are judged each."""
     ship(spark)
     model = langid.train(docs.where(~langid.held_out()).select("text", "lang"))
     rows = langid.predict(docs.select("text", F.struct("*").alias("_row")), model)
@@ -28,7 +29,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates stays."""
+    """One document of each class of near-duplicates stays, the one with the smallest
+    doc_id; rows repeated in full count as one."""
     ship(spark)
     return minhash.keep_one(docs)
 
