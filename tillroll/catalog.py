@@ -83,7 +83,8 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str, infer_schema: bool = False)
     from tillroll.sources import csv
 
     base = scratch_path(spark, "csv-roundtrip")
-    csv.write_raw_tables(testdata.raw_tables(spark, sf_dir), base)
+    # the five tables as text are as much as all shuffles of the report
+    csv.write_raw_tables(testdata.raw_tables(spark, sf_dir), base, compression="snappy")
     clean = cleaning.clean_all(csv.read_raw_tables(spark, base, infer_schema=infer_schema))
     return REPORTS["order_summary"].transform(**clean, date=RUN_DATE)
 

@@ -86,14 +86,24 @@ def _one_line(name: str) -> Column:
     return F.when(broken, F.raise_error(F.lit(f"column {name} holds text with a line break")).cast("string")).otherwise(F.col(name))
 
 
-def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+#: Rows of a compressed part file, which one task reads whole.
+PACKED_ROWS = 1 << 20
+
+
+def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None) -> None:
     """Write a raw table as header CSV (part files under ``path``).  Text with a
-    line break, which the splittable reader cannot read back, fails the write."""
+    line break, which the splittable reader cannot read back, fails the write.
+
+    ``compression`` is a codec of Spark's text files; the reader knows it by the files'
+    names.  Compressed files are not split, so each holds ``PACKED_ROWS`` rows at most."""
     texts = {f.name: _one_line(f.name) for f in df.schema.fields if isinstance(f.dataType, StringType)}
     df = df.withColumns(texts)
-    df.write.options(**_IO_OPTIONS).mode(mode).csv(path)
+    writer = df.write.options(**_IO_OPTIONS)
+    if compression is not None:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", PACKED_ROWS)
+    writer.mode(mode).csv(path)
 
 
-def write_raw_tables(tables: dict[str, DataFrame], base: str, suffix: str = ".csv") -> None:
+def write_raw_tables(tables: dict[str, DataFrame], base: str, suffix: str = ".csv", compression: str | None = None) -> None:
     for t, df in tables.items():
-        write_raw_csv(df, table_uri(base, t, suffix))
+        write_raw_csv(df, table_uri(base, t, suffix), compression=compression)
