@@ -188,7 +188,8 @@ def _run_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         sinks.write_report(df, base, name)
 
     reports = ("order_summary", "monthly_performance", "customer_transactions", "customer_retention")
-    cfg = pipeline.JobConfig(output_base=base, sf_dir=sf_dir, run_date=RUN_DATE, reports=reports)
+    # side by side: a report's last tasks leave cores to the others
+    cfg = pipeline.JobConfig(output_base=base, sf_dir=sf_dir, run_date=RUN_DATE, reports=reports, parallelism=len(reports))
     return pipeline.run_results(spark, cfg, sink)
 
 
