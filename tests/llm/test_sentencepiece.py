@@ -86,3 +86,17 @@ def test_a_small_word_memory_changes_nothing(monkeypatch):
     monkeypatch.setattr(sp, "CACHE", 10)
     enc, texts = sp.Encoder(sp.load(MODEL)), [f"some word {i % 17} again {i}" for i in range(200)]
     assert [x for i in range(0, 200, 7) for x in lists(enc, texts[i : i + 7])] == lists(sp.encoder(MODEL), texts)
+
+
+@needs_model
+def test_remembered_words_fit_a_worker():
+    import sys
+
+    rng = random.Random(8)
+    enc = sp.Encoder(sp.load(MODEL))
+    text = " ".join("".join(rng.choice(["er", "in", "the", "tion", "an", "sh", "ou"]) for _ in range(rng.randint(1, 5))) for _ in range(4000))
+    lists(enc, [text])
+    assert len(enc.recent) > 1000
+    # the word, its ids and its share of the table; words are kept twice, in recent and in older
+    mean = sum(sys.getsizeof(w) + sys.getsizeof(ids) + 50 for w, ids in enc.recent.items()) / len(enc.recent)
+    assert 2 * sp.CACHE * mean < 100e6

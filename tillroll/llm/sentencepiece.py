@@ -34,8 +34,8 @@ from tillroll.llm.common import arrow_task, extended, mix64, steps, utf8, withou
 
 SPACE = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Words a worker remembers.
-CACHE = 500_000
+#: Words a worker remembers, twice: two Python workers share an executor with its JVM.
+CACHE = 250_000
 #: Answers on pairs of pieces that a worker remembers, as a power of two.
 MEMORY_BITS = 20
 #: Longer words are cut further where no piece can span.
@@ -284,22 +284,23 @@ class Encoder:
         marks that are in no piece with others."""
         if any(b == SPACE and a != SPACE for a, b in pairs):
             return None
-        ascii_ = [chr(i) for i in range(128) if not chr(i).isalnum()]
+        ascii_ = [chr(i) for i in range(128) if not chr(i).isalnum() and chr(i) != " "]
         alone = "".join(c for c in ascii_ if not any(c in p for p in pairs))
         after_letter = {b for a, b in pairs if _LETTER.match(a)}
         ends = "".join(c for c in ascii_ if c not in alone and c not in after_letter)
         alone, ends = re.escape(alone), re.escape(ends)
         one = rf"[{alone}]|" if alone else ""
-        more = rf"(?:[^{SPACE}{alone}{ends}]|(?<![^\W\d_])[{ends}])" if ends else rf"[^{SPACE}{alone}]"
-        return re.compile(rf"{one}{SPACE}*[^{SPACE}{alone}]{more}*|{SPACE}+")
+        more = rf"(?:[^ {alone}{ends}]|(?<![^\W\d_])[{ends}])" if ends else rf"[^ {alone}]"
+        return re.compile(rf"{one} *[^ {alone}]{more}*| +")
 
     def words(self, text: str) -> list[str]:
-        """A run of spaces belongs to the word after it."""
+        """A run of spaces belongs to the word after it.  Spaces stand for the space
+        character of pieces, which would double the bytes of most words."""
         if not text:
             return []
-        text = text.replace(" ", SPACE)
+        text = text.replace(SPACE, " ")
         if self.v.dummy_prefix:
-            text = SPACE + text
+            text = " " + text
         return self.split.findall(text) if self.split else [text]
 
     def _learn(self, words: set[str]) -> dict[str, bytes]:
@@ -311,11 +312,12 @@ class Encoder:
                 known[w] = older[w]
             else:
                 searched.append(w)
-        parts = {w: self.v.cut(w) for w in searched if len(w) > CUT_OVER}
-        distinct = list({*(w for w in searched if w not in parts), *(x for ws in parts.values() for x in ws)})
+        spelled = {w: w.replace(" ", SPACE) for w in searched}
+        parts = {w: self.v.cut(s) for w, s in spelled.items() if len(w) > CUT_OVER}
+        distinct = list({*(s for w, s in spelled.items() if w not in parts), *(x for ws in parts.values() for x in ws)})
         found = dict(zip(distinct, self.v.encode_words(distinct)))
-        for w in searched:
-            known[w] = b"".join([found[x] for x in parts[w]]) if w in parts else found[w]
+        for w, s in spelled.items():
+            known[w] = b"".join([found[x] for x in parts[w]]) if w in parts else found[s]
         if len(self.recent) + len(known) > CACHE:
             # what this batch needs stays, the rest may be forgotten with the next turn
             kept = {w: self.recent[w] for w in words - known.keys()}
