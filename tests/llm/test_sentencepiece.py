@@ -88,6 +88,35 @@ def test_a_small_word_memory_changes_nothing(monkeypatch):
     assert [x for i in range(0, 200, 7) for x in lists(enc, texts[i : i + 7])] == lists(sp.encoder(MODEL), texts)
 
 
+class Unwalked(dict):
+    """A memory that may be asked for words, not walked from end to end."""
+
+    def keys(self):
+        raise AssertionError("walked")
+
+    __iter__ = items = values = keys
+
+
+@needs_model
+def test_a_batch_does_not_walk_the_word_memory():
+    enc = sp.Encoder(sp.encoder().v)
+    texts = ["a word met before", "", "two words, before"]
+    flat, at = enc.encode_batch(texts)
+    enc.recent, enc.older = Unwalked(enc.recent), Unwalked(enc.older)
+    again, ends = enc.encode_batch([*texts, "one that was not"])
+    assert again[: len(flat)].tolist() == flat.tolist() and ends[: len(at)].tolist() == at.tolist()
+    assert enc.decode(again[ends[-2] :].tolist()) == "one that was not"
+
+
+def test_pieces_are_found_among_many_with_equal_leading_bits(monkeypatch):
+    monkeypatch.setattr(sp, "INDEX_BITS", 3)
+    words = ["a", "b", "ab", "abc", "ca", "▁a", "▁ab"]
+    v = sp.Vocabulary(words, [-float(i) for i in range(len(words))], ["normal"] * len(words), unigram=True)
+    asked = [*words, "c", "bc", "▁", "abca"]
+    hashes = np.array([v._hash(w) for w in asked] + [0, 2**64 - 1], np.uint64)
+    assert v.lookup(hashes).tolist() == [*range(len(words)), *[-1] * 6]
+
+
 @needs_model
 def test_remembered_words_fit_a_worker():
     import sys

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tillroll.llm.common import arrow_task, extended, mix64, steps, utf8, without
+from tillroll.llm.common import arrow_task, extended, groups, mix64, steps, utf8, without
 
 SPACE = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -38,6 +38,10 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CACHE = 250_000
 #: Answers on pairs of pieces that a worker remembers, as a power of two.
 MEMORY_BITS = 20
+#: Leading bits of a piece's hash that tell where to look for it, as a power of two.
+INDEX_BITS = 18
+#: Bytes of text whose words are told apart and searched together.
+STEP = 2 << 20
 #: Longer words are cut further where no piece can span.
 CUT_OVER = 24
 _MUL = np.uint64(0xD6E8FEB86659FD93)
@@ -65,7 +69,10 @@ class Vocabulary:
             text = self._merges()
         hashes = np.array([self._hash(p) for p in text], np.uint64)
         order = np.argsort(hashes)
-        self.sorted_hash, self.sorted_id = hashes[order], np.fromiter(text.values(), np.int64, len(text))[order]
+        # a last entry that no hash passes and no piece has
+        self.sorted_hash = np.append(hashes[order], np.uint64(0xFFFFFFFFFFFFFFFF))
+        self.sorted_id = np.append(np.fromiter(text.values(), np.int64, len(text))[order], _NONE)
+        self.first_hash = np.searchsorted(self.sorted_hash, np.arange(1 << INDEX_BITS, dtype=np.uint64) << np.uint64(64 - INDEX_BITS)).astype(np.int32)
         # decoding: the bytes of all pieces in a row
         self.byte_length = np.array([len(b) for b in self.bytes], np.int64)
         self.byte_start = np.cumsum(self.byte_length) - self.byte_length
@@ -126,8 +133,20 @@ class Vocabulary:
     # ------------------------------------------------------------- search
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.sorted_hash, hashes), len(self.sorted_hash) - 1)
-        return np.where(self.sorted_hash[at] == hashes, self.sorted_id[at], _NONE)
+        """Ids of pieces by their hashes: from the first with a hash's leading bits
+        on, as few have them."""
+        at = self.first_hash[hashes >> np.uint64(64 - INDEX_BITS)]
+        held = self.sorted_hash[at]
+        found = held == hashes
+        on = np.flatnonzero(held < hashes)
+        while len(on):
+            at[on] += 1
+            held = self.sorted_hash[at[on]]
+            found[on] = held == hashes[on]
+            on = on[held < hashes[on]]
+        out = np.full(len(hashes), _NONE)
+        out[found] = self.sorted_id[at[found]]
+        return out
 
     def compatible(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         """``_compatible`` with a direct-mapped memory of the last answers."""
@@ -195,15 +214,18 @@ class Vocabulary:
                 gain = np.where(ids >= 0, self.scores[np.maximum(ids, 0)], -np.inf)
                 gain[:, 0] = np.where(ids[:, 0] >= 0, gain[:, 0], floor)
             else:
-                # one candidate is compatible with the path before it: the longest are asked first
+                # of the candidates compatible with the path before them the longest counts
+                fits = ids >= 0
+                fits[:, 0] = True  # a lone character stands, known or not
+                asked = fits.copy()
+                if starts[-1] == 0:  # the longest has nothing before it, where it fits nothing is asked
+                    asked[:, :-1] &= ~fits[:, -1:]
+                    asked[:, -1] = False
+                w, c = np.nonzero(asked)
+                fits[w, c] = self.compatible(piece[w, starts[c]], ids[w, c])
+                longest = fits.shape[1] - 1 - fits[:, ::-1].argmax(axis=1)
                 gain = np.full(ids.shape, -np.inf)
-                open_ = np.ones(n, bool)
-                for c in range(len(spans) - 1, -1, -1):
-                    w = np.flatnonzero(open_ & ((ids[:, c] >= 0) | (c == 0)))  # a lone character stands, known or not
-                    if len(w) and starts[c] > 0:
-                        w = w[self.compatible(piece[w, starts[c]], ids[w, c])]
-                    gain[w, c] = 0.0
-                    open_[w] = False
+                gain[row, longest] = np.where(fits[row, longest], 0.0, -np.inf)
             total = best[:, starts] + gain
             pick = total.argmax(axis=1)
             best[:, end], length[:, end], piece[:, end] = total[row, pick], spans[pick], ids[row, pick]
@@ -242,17 +264,14 @@ class Vocabulary:
         if not (self.unigram or self.ordered):
             return [self._plain(w) for w in words]
         out: list = [None] * len(words)
-        order = sorted(range(len(words)), key=lambda k: len(words[k]))
-        i = 0
-        while i < len(order):
-            size = len(words[order[i]])
+        order, starts, count = groups(np.fromiter(map(len, words), np.int64, len(words)))
+        for lo, n in zip(starts.tolist(), count.tolist()):
+            size = len(words[order[lo]])
             most = max(1, 200_000 // (size * min(size, self.longest)))
-            j = i
-            while j < len(order) and j - i < most and len(words[order[j]]) == size:
-                j += 1
-            for k, ids in zip(order[i:j], self._advance([words[k] for k in order[i:j]])):
-                out[k] = ids
-            i = j
+            for i in range(lo, lo + n, most):
+                block = order[i : min(i + most, lo + n)].tolist()
+                for k, ids in zip(block, self._advance([words[k] for k in block])):
+                    out[k] = ids
         return out
 
     def cut(self, text: str) -> list[str]:
@@ -304,20 +323,23 @@ class Encoder:
         return self.split.findall(text) if self.split else [text]
 
     def _learn(self, words: set[str]) -> dict[str, bytes]:
-        known, older = {}, self.older
-        new = words - self.recent.keys()
+        known, older, recent = {}, self.older, self.recent
         searched = []
-        for w in new:
+        for w in words:
+            if w in recent:
+                continue
             if w in older:
                 known[w] = older[w]
             else:
                 searched.append(w)
-        spelled = {w: w.replace(" ", SPACE) for w in searched}
-        parts = {w: self.v.cut(s) for w, s in spelled.items() if len(w) > CUT_OVER}
-        distinct = list({*(s for w, s in spelled.items() if w not in parts), *(x for ws in parts.values() for x in ws)})
-        found = dict(zip(distinct, self.v.encode_words(distinct)))
-        for w, s in spelled.items():
-            known[w] = b"".join([found[x] for x in parts[w]]) if w in parts else found[s]
+        whole = [w for w in searched if len(w) <= CUT_OVER]
+        parts = {w: self.v.cut(w.replace(" ", SPACE)) for w in searched if len(w) > CUT_OVER}
+        distinct = list({x for ws in parts.values() for x in ws})
+        codes = self.v.encode_words([w.replace(" ", SPACE) for w in whole] + distinct)
+        known.update(zip(whole, codes))
+        found = dict(zip(distinct, codes[len(whole) :]))
+        for w, ws in parts.items():
+            known[w] = b"".join([found[x] for x in ws])
         if len(self.recent) + len(known) > CACHE:
             # what this batch needs stays, the rest may be forgotten with the next turn
             kept = {w: self.recent[w] for w in words - known.keys()}
@@ -328,8 +350,8 @@ class Encoder:
     def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts in a row, and the n+1 offsets of the texts."""
         split = [self.words(t) for t in texts]
-        table = self._learn({w for s in split for w in s})
-        got = [b"".join([table[w] for w in s]) for s in split]
+        code = self._learn(set().union(*split)).__getitem__
+        got = [b"".join(map(code, s)) for s in split]
         return np.frombuffer(b"".join(got), np.int32), np.append(0, np.cumsum([len(x) // 4 for x in got], dtype=np.int64))
 
     def decode_batch(self, flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -421,7 +443,7 @@ def _encode(path: str, column: str):
         for batch in batches:
             text = batch.column(column)
             data, offsets = utf8(text)
-            for i, j in steps(offsets, 1 << 20):
+            for i, j in steps(offsets, STEP):
                 flat, at = enc.encode_batch([t or "" for t in text[i:j].to_pylist()])
                 back, bounds = enc.decode_batch(flat, at)
                 raw = data[offsets[i] : offsets[j]]
