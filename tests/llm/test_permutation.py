@@ -47,6 +47,19 @@ def test_copies_give_their_smallest_ids(docs):
     assert got["query_id"].nunique() == 3
 
 
+def test_blocks_of_queries_are_not_broadcast(docs, monkeypatch):
+    """A block stands once for each shard, so no estimate of the query set bounds them all."""
+    monkeypatch.setattr(permutation, "SHARD", 40)
+    monkeypatch.setattr(permutation, "BLOCK", 16)
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 4)).astype(np.float32)
+    df = docs([(int(i), v.tolist()) for i, v in enumerate(x)], SCHEMA)
+    found = permutation.search(df, df.where("vec_id % 10 = 0"), k=3)
+    assert found.count() == 40 * 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [part" in plan and "Broadcast" not in plan
+
+
 def test_edges(docs):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [3.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (None, [1.0, 1.0]), (8, []), (100, [1.0, 2.0, 3.0])]

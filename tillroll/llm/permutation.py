@@ -37,6 +37,8 @@ PIVOTS = 128
 SHARD, BLOCK = 8192, 1024
 #: Part of a shard that is ranked by exact distance, and the least number.
 RERANK, RERANK_LEAST = 0.125, 256
+#: Tasks that the shards are dealt to: so many for each, and at most.
+SPREAD, MOST_TASKS = 4, 4096
 _ROWS = 64
 
 
@@ -134,7 +136,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, pivots: int = PI
         shards = materialize(build(own, points, n_shards), "permutation-index")
         blocks = build(mine, points, -(-mine.count() // BLOCK) or 1, distinct=False)
         blocks = blocks.select(F.col("ids").alias("qids"), F.col("files").alias("qfiles"), F.col("vectors").alias("qvectors"), F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("part"))
-        found = shards.join(blocks, "part").select("ids", "copies", "files", "vectors", "qids", "qfiles", "qvectors").mapInArrow(
+        tasks = min(SPREAD * n_shards, MOST_TASKS)
+        # every block stands here once for each shard, which estimates from the size of the query set leave out: no broadcast
+        pairs = shards.repartition(tasks, "part").hint("merge").join(blocks.repartition(tasks, "part"), "part")
+        found = pairs.select("ids", "copies", "files", "vectors", "qids", "qfiles", "qvectors").mapInArrow(
             _search(k, rerank, len(points)), "query_id bigint, vec_id bigint, score double"
         )
         out = found if out is None else out.union(found)
