@@ -79,6 +79,26 @@ def test_cells_are_pruned(llm):
     assert sorted(tuple(r) for r in got.collect()) == brute(rows, lambda i: i % 100 == 0)
 
 
+def test_visits_are_not_broadcast(llm, monkeypatch):
+    """Visits repeat an anchor for each chunk it reads, which their size in files hardly shows."""
+    written = {}
+    kept = negatives.materialize
+
+    def materialize(df, label):
+        written.setdefault(label, []).append(df)
+        return kept(df, label)
+
+    monkeypatch.setattr(negatives, "materialize", materialize)
+    valid = negatives.valid(llm.createDataFrame(corpus(), SCHEMA))
+    got = negatives.mine(valid, valid.where("vec_id % 10 = 0"), codes=5)
+    for df in (*written["negatives-near"], *written["negatives-hard"], got):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [i#" in plan and "SortMergeJoin [anchor_id#" in plan
+        assert "BroadcastHashJoin [i#" not in plan
+    # a visit holds no vector
+    assert all("v" not in df.columns for df in written["negatives-visits"])
+
+
 def test_edges(llm):
     empty = negatives.valid(llm.createDataFrame([], SCHEMA))
     assert negatives.mine(empty, empty).count() == 0

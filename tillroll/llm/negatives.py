@@ -49,9 +49,10 @@ from tillroll.llm.common import arrow_task, materialize
 SAMPLE, CODES, CELL = 8192, 64, 2048
 #: Rows of a chunk and anchors of a block, about.
 CHUNK, BLOCK = 8192, 1024
+#: Tasks that walk the cells for the anchors of a block.
+SPREAD = 8
 #: Cells read before the first bound.
 PROBE = 4
-_ANCHOR = "anchor_id bigint, label bigint, v array<bigint>"
 
 
 def quantised(embedding: Column, scale: int = 256) -> Column:
@@ -211,11 +212,10 @@ def _visits(shared, probe: int):
                         cells.append(cell)
                         subs.append(sub)
                         read.append(n + 1)
-            where = pa.array(np.array(who, np.int64))
-            kept = [batch.column(c).take(where) for c in batch.schema.names if c not in ("read", "floor")]
+            ids = batch.column("anchor_id").take(pa.array(np.array(who, np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array([c[0] for c in cells], pa.int32()), pa.array([c[1] for c in cells], pa.int32()), pa.array(subs, pa.int32()), pa.array(read, pa.int32())],
-                names=[*[c for c in batch.schema.names if c not in ("read", "floor")], "i", "j", "sub", "read"],
+                [ids, pa.array([c[0] for c in cells], pa.int32()), pa.array([c[1] for c in cells], pa.int32()), pa.array(subs, pa.int32()), pa.array(read, pa.int32())],
+                names=["anchor_id", "i", "j", "sub", "read"],
             )
 
     return run
@@ -274,47 +274,49 @@ def mine(rows: DataFrame, anchors: DataFrame, positives: int = 5, negatives: int
     asked = materialize(once.select("anchor_id", "row.*"), "negatives-anchors")
     blocks = -(-asked.count() // BLOCK) or 1
 
-    def scan(visits: DataFrame, k: int, windows: bool) -> DataFrame:
+    def scan(visits: DataFrame, of: DataFrame, k: int, windows: bool) -> DataFrame:
+        # visits, and anchors once for each, pack to a small part of their size in files: estimates from that may not broadcast them
         fields = ["anchor_id", "label", "v", *(["positives"] if windows else [])]
         block = F.pmod(F.xxhash64("anchor_id", F.lit(19)), F.lit(blocks)).alias("block")
+        visits = visits.select("anchor_id", "i", "j", "sub").hint("merge").join(of.select(*fields), "anchor_id")
         packed = visits.groupBy("i", "j", "sub", block).agg(F.collect_list(F.struct(*fields)).alias("asked")).drop("block")
-        joined = chunks.join(packed, ["i", "j", "sub"]).select("ids", "labels", "vectors", "asked")
+        joined = chunks.hint("merge").join(packed, ["i", "j", "sub"]).select("ids", "labels", "vectors", "asked")
         return joined.mapInArrow(_scan(k, windows, low, high), "anchor_id bigint, positive_id bigint, vec_id bigint, positive_score bigint, score bigint")
 
     def first(found: DataFrame, keys: list[str], k: int) -> DataFrame:
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("score").desc(), "vec_id"))
         return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
-    def visit(of: DataFrame, more: str = "") -> DataFrame:
-        return of.mapInArrow(_visits(shared, probe), f"{_ANCHOR}{more}, i int, j int, sub int, read int")
+    def visit(of: DataFrame) -> DataFrame:
+        of = of.select("anchor_id", "v", "read", "floor").repartition(blocks * SPREAD, "anchor_id")
+        return of.mapInArrow(_visits(shared, probe), "anchor_id bigint, i int, j int, sub int, read int")
 
     # positives: the first cells, then all that may hold a better one
     probed = materialize(visit(asked.select("*", F.lit(None).cast("int").alias("read"), F.lit(None).cast("double").alias("floor"))), "negatives-visits")
-    near = materialize(first(scan(probed, positives, False), ["anchor_id"], positives), "negatives-near")
+    near = materialize(first(scan(probed, asked, positives, False), ["anchor_id"], positives), "negatives-near")
     reach = probed.groupBy("anchor_id").agg(F.max("read").alias("read"))
     floor = near.groupBy("anchor_id").agg(F.count("*").alias("n"), F.min("score").alias("last"))
     enough = F.when(F.col("n") >= positives, F.col("last").cast("double")).otherwise(F.lit(float("-inf")))
-    rest = asked.join(reach, "anchor_id").join(floor, "anchor_id", "left").select("anchor_id", "label", "v", "read", enough.alias("floor"))
+    rest = asked.join(reach, "anchor_id").join(floor, "anchor_id", "left").select("anchor_id", "v", "read", enough.alias("floor"))
     later = materialize(visit(rest), "negatives-visits")
     fields = ["anchor_id", "vec_id", "score"]
-    best = first(near.select(*fields).union(scan(later, positives, False).select(*fields)), ["anchor_id"], positives)
+    best = first(near.select(*fields).union(scan(later, asked, positives, False).select(*fields)), ["anchor_id"], positives)
     own = F.sort_array(F.collect_list(F.struct(F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"))))
     # a window below zero holds nothing
     best = materialize(best.where("score >= 0").groupBy("anchor_id").agg(own.alias("positives")), "negatives-positives")
 
     # negatives: the cells read so far, then all that may reach a window
-    place = ["i", "j", "sub", "read"]
-    known = probed.select("anchor_id", "label", "v", *place).union(later.select("anchor_id", "label", "v", *place)).join(best, "anchor_id")
+    known, of = probed.union(later), asked.join(best, "anchor_id")
     pairs = ["anchor_id", "positive_id", "positive_score"]
-    hard = materialize(first(scan(known, negatives, True), pairs, negatives).select(*pairs, "vec_id", "score"), "negatives-hard")
+    hard = materialize(first(scan(known, of, negatives, True), pairs, negatives).select(*pairs, "vec_id", "score"), "negatives-hard")
     full = hard.groupBy(*pairs).agg(F.count("*").alias("n"), F.min("score").alias("last"))
     each = best.select("anchor_id", F.explode("positives").alias("p")).select("anchor_id", "p.*")
     foot = F.ceil(F.lit(low) * F.col("positive_score") / 100).cast("double")
     floors = each.join(full, pairs, "left").withColumn("floor", F.when(F.col("n") >= negatives, F.col("last").cast("double")).otherwise(foot)).groupBy("anchor_id").agg(F.min("floor").alias("floor"))
     reach = known.groupBy("anchor_id").agg(F.max("read").alias("read"))
-    rest = asked.join(best, "anchor_id").join(floors, "anchor_id").join(reach, "anchor_id", "left").select("anchor_id", "label", "v", "positives", "read", "floor")
-    more = visit(rest, ", positives array<struct<positive_id:bigint,positive_score:bigint>>")
-    found = hard.union(scan(more, negatives, True).select(*pairs, "vec_id", "score"))
+    rest = of.join(floors, "anchor_id").join(reach, "anchor_id", "left").select("anchor_id", "v", "read", "floor")
+    more = materialize(visit(rest), "negatives-visits")
+    found = hard.union(scan(more, of, negatives, True).select(*pairs, "vec_id", "score"))
     return first(found, pairs, negatives).select("anchor_id", "positive_id", "rank", F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))
 
 
